@@ -11,6 +11,7 @@ arrangements around spaces go to the library whole.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 
 import numpy as np
@@ -18,9 +19,25 @@ import numpy as np
 #: Entries after which a worker forgets its memo; bounds it to some 250 MB.
 MEMO_ENTRIES = 1_000_000
 _ODD_SPACE = re.compile(r" (?:\s|$)")
+#: ASCII only: none of these is a letter, a number or white space anywhere.
+_PUNCTUATION = string.punctuation
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+class _Marks(dict):
+    """Ids of punctuation runs."""
+
+    def __init__(self, owner: "ChunkEncoder"):
+        self.owner = owner
+        self[""] = b""
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.owner._raw([run])[0]
+        if len(self) < 10_000:
+            self[run] = ids
+        return ids
+
+
 class ChunkEncoder:
     """Encodes lists of texts to little-endian unsigned ids, ``width`` bytes each."""
 
@@ -32,36 +49,101 @@ class ChunkEncoder:
         pre = self.tokenizer.pre_tokenizer
         normal = self.tokenizer.normalizer is None and self.tokenizer.post_processor is None
         self.by_chunk = normal and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
-        self.memo: dict[str, bytes] = {}
+        #: Ids of chunks, by the space or nothing that comes before them.
+        self.memo: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+        self.marks = _Marks(self)
+        form_feed = self.tokenizer.encode("\f", add_special_tokens=False).ids
+        self.part = form_feed[0]
+        self.by_chunk = self.by_chunk and len(form_feed) == 1
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
+    def _learn(self, chunks: set[str], lead: str) -> None:
+        """Adds ``chunks`` to the memo of those that follow ``lead``.
+
+        Letters, ASCII punctuation after letters, and a line feed between
+        either and letters are pre-tokens of their own, so chunks made of
+        those are put together from the ids of their letters.  Letters go to
+        the library many to a text, parted by form feeds: between letters a
+        form feed is a pre-token of its own too.
+        """
+        memo, plain, marks = self.memo[lead], self.memo[""], self.marks
+        letters, line_starts, others, built = set(), set(), [], []
+        for c in chunks:
+            body = c.rstrip(_PUNCTUATION)
+            if body.isalpha():
+                if len(body) == len(c):
+                    letters.add(c)
+                    continue
+                below = None
+            else:
+                head, feed, below = c.partition("\n")
+                body = head.rstrip(_PUNCTUATION)
+                foot = below.rstrip(_PUNCTUATION)
+                if not (feed and body.isalpha() and foot.isalpha()):
+                    others.append(c)
+                    continue
+                if foot not in plain:
+                    line_starts.add(foot)
+            if body not in memo:
+                letters.add(body)
+            built.append((c, body, below))
+        self._learn_letters(letters, lead)
+        self._learn_letters(line_starts, "")
+        for at in range(0, len(others), 50_000):
+            part = others[at : at + 50_000]
+            memo.update(zip(part, self._raw([lead + c for c in part])))
+        for c, body, below in built:
+            ids = memo[body]
+            if below is None:
+                memo[c] = ids + marks[c[len(body) :]]
+            else:
+                foot = below.rstrip(_PUNCTUATION)
+                memo[c] = ids + marks[c[len(body) : -len(below) - 1]] + marks["\n"] + plain[foot] + marks[below[len(foot) :]]
+
+    def _learn_letters(self, letters: set[str], lead: str) -> None:
+        memo, whole, step = self.memo[lead], list(letters), self.dtype.itemsize
+        groups = [whole[at : at + 1000] for at in range(0, len(whole), 1000)]
+        texts = [lead + ("\f" + lead).join(g) for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, dtype=self.dtype)
+            cuts = (np.nonzero(ids == self.part)[0] * step).tolist()
+            if len(cuts) != len(group) - 1:
+                memo.update(zip(group, self._raw([lead + c for c in group])))
+                continue
+            raw = ids.tobytes()
+            starts = [0, *(c + step for c in cuts)]
+            memo.update(zip(group, [raw[a:b] for a, b in zip(starts, [*cuts, len(raw)])]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
             return self._raw(texts)
         out: list[bytes | None] = [None] * len(texts)
-        whole, cut = [], []
+        odd = [i for i, t in enumerate(texts) if _ODD_SPACE.search(t)]
+        for i, b in zip(odd, self._raw([texts[i] for i in odd]) if odd else ()):
+            out[i] = b
+        for memo in self.memo.values():
+            if len(memo) > MEMO_ENTRIES:
+                memo.clear()
+        first, later = self.memo[""], self.memo[" "]
+        work, unseen = [], set()
         for i, t in enumerate(texts):
-            (whole if _ODD_SPACE.search(t) else cut).append(i)
-        if whole:
-            for i, b in zip(whole, self._raw([texts[i] for i in whole])):
-                out[i] = b
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        pieces = []
-        for i in cut:
-            p = texts[i].replace(" ", "\0 ").split("\0") if "\0" not in texts[i] else re.split("(?= )", texts[i])
-            pieces.append(p)
-        unseen = list(set().union(*pieces).difference(memo))
-        for at in range(0, len(unseen), 50_000):
-            part = unseen[at : at + 50_000]
-            memo.update(zip(part, self._raw(part)))
-        get = memo.__getitem__
-        for i, p in zip(cut, pieces):
-            out[i] = b"".join(map(get, p))
+            if out[i] is None:
+                chunks = t.split(" ")
+                ids = list(map(later.get, chunks))
+                ids[0] = b""
+                holes = [k for k, v in enumerate(ids) if v is None]
+                unseen.update([chunks[k] for k in holes])
+                work.append((i, chunks[0], ids, holes, [chunks[k] for k in holes]))
+        self._learn({w[1] for w in work if w[1] not in first}, "")
+        self._learn(unseen, " ")
+        for i, head, ids, holes, missing in work:
+            ids[0] = first[head]
+            for k, c in zip(holes, missing):
+                ids[k] = later[c]
+            out[i] = b"".join(ids)
         return out
 
     def arrays(self, texts: list[str]) -> list[np.ndarray]:
