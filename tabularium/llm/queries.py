@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .neardup import op5_minhash_near_dedup
 from .packing import op10_best_fit_packing
 from .tokenio import op7_token_ids
 from .urlfilter import OP6_SQL, op6_url_digest_filter
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_digest_filter": op6_url_digest_filter,
     "op7_token_ids": op7_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
