@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .neardup import op5_minhash_near_dedup
 from .packing import op10_best_fit_packing
+from .pii import op1_personal_data
 from .quality import OP3_SQL, op3_quality_rules
 from .substring import op4_repeated_phrase_automata
 from .tokenio import op7_token_ids
 from .urlfilter import OP6_SQL, op6_url_digest_filter
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op3_quality_rules": op3_quality_rules,
     "op4_repeated_phrase_automata": op4_repeated_phrase_automata,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
