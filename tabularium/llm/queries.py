@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .htmltext import op2_consensus_host_paths
 from .neardup import op5_minhash_near_dedup
 from .packing import op10_best_fit_packing
 from .pii import op1_personal_data
@@ -13,6 +14,7 @@ from .urlfilter import OP6_SQL, op6_url_digest_filter
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op3_quality_rules": op3_quality_rules,
+    "op2_consensus_host_paths": op2_consensus_host_paths,
     "op4_repeated_phrase_automata": op4_repeated_phrase_automata,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_digest_filter": op6_url_digest_filter,
