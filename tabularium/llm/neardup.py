@@ -9,13 +9,13 @@
 3. Prefix merging: two classes that agree on ``MATCHES`` of the lists agree on
    one of the ``s - MATCHES + 1`` rarest of either's ``s`` lists, so only those
    stay.  Frequent lists - a passage that thousands share - drop out first.
-4. Collisions are counted in two rounds.  First every class is held against the
-   best-agreeing of the smallest classes of its lists (one pair a class); what
-   that confirms collapses groups of near copies.  Then the lists that still
-   hold several components are compared in blocks, all pairs of different
-   components; a list of any length is cut into blocks of ``BLOCK`` classes.
+4. Collisions are counted in three rounds.  First every class is held against a
+   few of the smallest classes of its lists; what that confirms collapses groups
+   of near copies.  Then the lists that still hold several components are
+   compared in blocks of ``BLOCK`` classes, whatever their length: once for the
+   best pair of every two components, then for all pairs of different ones.
 5. A pair is retained if its signatures agree in ``MATCHES`` posted coordinates
-   and in ``AGREE`` of all coordinates, and confirmed on the full shingle sets.
+   and in ``AGREE`` of the extra ones, and confirmed on the full shingle sets.
    Both bounds miss a pair at the similarity threshold with probability below
    1e-6, see README.
 6. Components of the confirmed links, by alternating star contraction.
@@ -28,7 +28,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
@@ -40,22 +39,27 @@ SHINGLE = 4
 PERCENT = 80
 COORDS = 64
 MATCHES = 32
-#: Further coordinates of one byte each, only used to retain pairs.
-EXTRA = 128
-AGREE = 120
+#: Further coordinates of two bits each, of the classes that are posted, only used to retain pairs.
+#: Two of these agree with probability (1 + 3 * similarity) / 4.
+EXTRA = 1792
+AGREE = 1440
 BLOCK = 512
+#: Smallest classes of its lists that a class is held against in the first round.
+PIVOTS = 4
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _XOR = _rng.integers(0, 2**63, COORDS + EXTRA, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**63, COORDS + EXTRA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signature(items: np.ndarray) -> np.ndarray:
-    out = np.full(COORDS + EXTRA, 2**64 - 1, np.uint64)
+def signature(items: np.ndarray, coords: slice) -> np.ndarray:
+    """The given coordinates of the MinHash signature of a set."""
+    flip, odd = _XOR[coords], _ODD[coords]
+    out = np.full(len(odd), 2**64 - 1, np.uint64)
+    rows = max(1, 131072 // len(odd))
     with np.errstate(over="ignore"):
-        for at in range(0, len(items), 2048):
-            part = ((items[at : at + 2048, None] ^ _XOR) * _ODD).min(axis=0)
-            np.minimum(out, part, out=out)
+        for at in range(0, len(items), rows):
+            np.minimum(out, ((items[at : at + rows, None] ^ flip) * odd).min(axis=0), out=out)
     return out
 
 
@@ -80,90 +84,104 @@ def _small(batches, rows: int = 1000):
 
 
 def document_signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set; null if empty), keys, extra."""
+    """doc_id, n_shingles, node (digest of the set; null if empty), keys."""
 
     def sign(batches):
         for batch in _small(batches):
-            n, node, keys, extra = [], [], [], []
+            n, node, keys = [], [], []
             for items in shingle_sets(batch.column(1), size):
                 n.append(len(items))
                 if not len(items):
-                    node.append(None), keys.append(None), extra.append(None)
+                    node.append(None), keys.append(None)
                     continue
                 node.append(_digest(items))
-                sig = signature(items)
-                keys.append(sig[:COORDS].tobytes())
-                extra.append((sig[COORDS:] >> np.uint64(40)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.binary()), pa.array(extra, pa.binary())], ["doc_id", "n_shingles", "node", "keys", "extra"])
+                keys.append(signature(items, slice(COORDS)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "node", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n_shingles long, node binary, keys binary, extra binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n_shingles long, node binary, keys binary")
 
 
 def _post(classes: DataFrame) -> DataFrame:
-    """(cid, key) of every class and coordinate."""
+    """(cid, key, coord) of every class and coordinate."""
 
     def post(batches):
         for batch in _small(batches, 4000):
             sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(batch.column(0)), COORDS)), pa.array(sigs)], ["cid", "key"])
+            coords = np.tile(np.arange(COORDS, dtype=np.int32), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(batch.column(0)), COORDS)), pa.array(sigs), pa.array(coords)], ["cid", "key", "coord"])
 
-    return classes.select("cid", "keys").mapInArrow(post, "cid long, key long")
+    return classes.select("cid", "keys").mapInArrow(post, "cid long, key long, coord int")
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
-    """(cid, key) of the rarest shared lists, enough of them that no pair is lost."""
+    """(cid, key, coord, mask) of the rarest shared lists, enough of them that no pair is lost; mask: the coordinates kept, as bits."""
     posted = _post(classes)
     shared = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    mine = posted.join(shared, "key").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("lists"))
-    kept = mine.filter(F.size("lists") >= MATCHES)
-    return kept.select("cid", F.explode(F.expr(f"slice(lists, 1, size(lists) - {MATCHES} + 1)")).alias("x")).select("cid", "x.key")
+    mine = posted.join(shared, "key").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "key", "coord"))).alias("lists"))
+    kept = mine.filter(F.size("lists") >= MATCHES).select("cid", F.expr(f"slice(lists, 1, size(lists) - {MATCHES} + 1)").alias("lists"))
+    mask = F.expr("aggregate(lists, 0L, (m, x) -> m | shiftleft(1L, x.coord))")
+    return kept.select("cid", mask.alias("mask"), F.explode("lists").alias("x")).select("cid", "x.key", "x.coord", "mask")
 
 
-def _agreement(keys_a, extra_a, keys_b, extra_b) -> tuple[np.ndarray, np.ndarray]:
-    a, b = (np.frombuffer(b"".join(k), np.int64).reshape(-1, COORDS) for k in (keys_a, keys_b))
-    x, y = (np.frombuffer(b"".join(k), np.uint8).reshape(-1, EXTRA) for k in (extra_a, extra_b))
-    posted = (a == b).sum(axis=1)
-    return posted, posted + (x == y).sum(axis=1)
+#: A class's row in comparisons: 16 bits of each posted coordinate, then the extra bits.
+PROFILE = 2 * COORDS + EXTRA // 4
+_PAIRS = np.uint64(0x5555555555555555)
 
 
-def _first_pairs(prefix: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each class with the pivot, of the smallest classes of its lists, that it agrees with most."""
+def profile(items: np.ndarray) -> bytes:
+    sig = signature(items, slice(None))
+    posted, bits = (sig[:COORDS] >> np.uint64(24)).astype("<u2"), (sig[COORDS:] >> np.uint64(40)).astype(np.uint8) & 3
+    fours = bits.reshape(-1, 4)
+    return posted.tobytes() + (fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6).tobytes()
+
+
+def _profiles(column: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join(column), np.uint8).reshape(-1, PROFILE)
+    return np.ascontiguousarray(both[:, : 2 * COORDS]).view("<u2"), np.ascontiguousarray(both[:, 2 * COORDS :]).view("<u8")
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many two-bit coordinates agree, by row."""
+    differ = x ^ y
+    return EXTRA - np.bitwise_count((differ | differ >> np.uint64(1)) & _PAIRS).sum(axis=1, dtype=np.int64)
+
+
+def _first_pairs(prefix: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Each class with those of its lists' smallest classes, at most PIVOTS, that it meets most often and agrees with."""
     pivots = prefix.groupBy("key").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot")
     pairs = prefix.join(pivots, "key").filter("cid != pivot").groupBy("cid", "pivot").agg(F.count("*").alias("lists"))
-    best = pairs.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("lists")).alias("lists"), "pivot"))), 1, 4).alias("best"))
+    best = pairs.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("lists")).alias("lists"), "pivot"))), 1, PIVOTS).alias("best"))
     pairs = best.select("cid", F.explode("best.pivot").alias("pivot"))
-    sig = classes.select("cid", "keys", "extra")
-    both = pairs.join(sig, "cid").join(sig.select(F.col("cid").alias("pivot"), F.col("keys").alias("keys2"), F.col("extra").alias("extra2")), "pivot")
+    mine = profiles.select("cid", "profile")
+    both = pairs.join(mine, "cid").join(mine.select(F.col("cid").alias("pivot"), F.col("profile").alias("other")), "pivot")
 
     def score(batches):
         for batch in _small(batches, 4000):
-            col = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n not in ("cid", "pivot")}
-            posted, agree = _agreement(col["keys"], col["extra"], col["keys2"], col["extra2"])
-            ok = pa.array((posted >= MATCHES) & (agree >= AGREE))
-            yield pa.RecordBatch.from_arrays([batch.column("cid").filter(ok), batch.column("pivot").filter(ok), pa.array(agree.astype(np.int32)).filter(ok)], ["a", "b", "agree"])
+            (a, x), (b, y) = (_profiles(batch.column(c).to_pylist()) for c in ("profile", "other"))
+            ok = pa.array(((a == b).sum(axis=1) >= MATCHES) & (_agreeing(x, y) >= AGREE))
+            yield pa.RecordBatch.from_arrays([batch.column("cid").filter(ok), batch.column("pivot").filter(ok)], ["a", "b"])
 
-    scored = both.select("cid", "pivot", "keys", "extra", "keys2", "extra2").mapInArrow(score, "a long, b long, agree int")
-    return scored.groupBy("a").agg(F.max_by("b", F.struct("agree", -F.col("b"))).alias("b"))
+    return both.select("cid", "pivot", "profile", "other").mapInArrow(score, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cid, n, items) of the wanted classes: their texts are read again, one document a class."""
+    """(cid, n_shingles, items, profile) of the wanted classes: their texts are read again, one document a class."""
 
     def build(batches):
         for batch in _small(batches):
             found = list(shingle_sets(batch.column(1), size))
-            yield pa.RecordBatch.from_arrays([pa.array([_digest(x) if len(x) else None for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "n", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(x) if len(x) else None for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([profile(x) for x in found], pa.binary())], ["node", "n_shingles", "items", "profile"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    built = texts.select("doc_id", "text").mapInArrow(build, "node binary, n long, items binary")
+    built = texts.select("doc_id", "text").mapInArrow(build, "node binary, n_shingles long, items binary, profile binary")
     # A repeated doc_id can bring other sets along, or one set twice.
-    return wanted.select("cid", "node").join(built, "node").groupBy("cid").agg(F.first("n").alias("n"), F.first("items").alias("items"))
+    return wanted.select("cid", "node").join(built, "node").groupBy("cid").agg(F.first("n_shingles").alias("n_shingles"), F.first("items").alias("items"), F.first("profile").alias("profile"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("items").alias("x"))
-    right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("items").alias("y"))
+    left = sets.select(F.col("cid").alias("a"), F.col("n_shingles").alias("na"), F.col("items").alias("x"))
+    right = sets.select(F.col("cid").alias("b"), F.col("n_shingles").alias("nb"), F.col("items").alias("y"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
     def confirm(batches):
@@ -183,44 +201,77 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
 
 
-def _open_pairs(prefix: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of different components so far that share a list and agree enough."""
-    # Two hops up the first round's links: classes confirmed against one pivot, or a pivot's pivot, are one component.
-    up = links.select("a", "b")
-    two = up.alias("l").join(up.alias("r"), F.col("l.b") == F.col("r.a"), "left").select(F.col("l.a").alias("cid"), F.least("l.b", F.coalesce("r.b", "l.b")).alias("comp"))
-    # prefix rows carry their component
-    marked = prefix.join(two, "cid", "left").select("cid", "key", F.coalesce("comp", "cid").alias("comp"))
+def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percent: int, *, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a list and agree enough, each formed at the first list they share.
+
+    ``best``: of each two components in a list only the pair that agrees most.
+    """
+    marked = prefix.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     spread = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", F.expr(f"int(ceil(n / {BLOCK}))").alias("blocks"))
     opened = marked.join(spread, "key")
     # Block pairs: a class goes to each pair that its own block is part of.
     own = F.expr("int(pmod(xxhash64(cid, key), blocks))")
     dealt = opened.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "comp")
-    sig = classes.select("cid", "n_shingles", "keys", "extra")
-    ready = dealt.join(sig, "cid")
-
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(key[1]), int(key[2])
-        cid, comp, n, own = (pdf[c].to_numpy() for c in ("cid", "comp", "n_shingles", "own"))
-        sig_a = np.frombuffer(b"".join(pdf["keys"]), np.int64).reshape(-1, COORDS)
-        sig_x = np.frombuffer(b"".join(pdf["extra"]), np.uint8).reshape(-1, EXTRA)
-        left = np.nonzero(own == i)[0]
-        right = np.nonzero(own == j)[0]
-        found = []
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "comp", "coord", "mask")
+    ready = dealt.join(profiles.select("cid", "n_shingles", "profile"), "cid").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(i, j, coord, own, cid, comp, n, mask, sig, extra):
+        left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+        found = {} if best else []
+        # Coordinates before this list's, in which an agreement of two prefixes forms the pair elsewhere.
+        earlier = np.int64((1 << int(coord)) - 1)
+        bits = (mask[:, None] >> np.arange(int(coord))) & 1 == 1
         for r in left:
-            others = right[(comp[right] != comp[r]) & (100 * np.minimum(n[right], n[r]) >= PERCENT * np.maximum(n[right], n[r]))]
+            others = right[(comp[right] != comp[r]) & (100 * np.minimum(n[right], n[r]) >= percent * np.maximum(n[right], n[r]))]
             if i == j:
                 others = others[others > r]
             if not len(others):
                 continue
-            posted = (sig_a[others] == sig_a[r]).sum(axis=1)
-            others, posted = others[posted >= MATCHES], posted[posted >= MATCHES]
-            if len(others):
-                others = others[posted + (sig_x[others] == sig_x[r]).sum(axis=1) >= AGREE]
-                found += [(min(cid[r], cid[o]), max(cid[r], cid[o])) for o in others]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return ready.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+            same = sig[others] == sig[r]
+            ok = same.sum(axis=1) >= MATCHES
+            if mask[r] & earlier:
+                ok &= ~(same[:, : len(bits[r])] & bits[others] & bits[r]).any(axis=1)
+            others = others[ok]
+            if not len(others):
+                continue
+            agree = _agreeing(extra[others], extra[r])
+            others, agree = others[agree >= AGREE], agree[agree >= AGREE]
+            for o, c in zip(others.tolist(), agree.tolist()):
+                pair = (min(cid[r], cid[o]), max(cid[r], cid[o]))
+                if best:
+                    between = (min(comp[r], comp[o]), max(comp[r], comp[o]))
+                    if c > found.get(between, (0,))[0]:
+                        found[between] = (c, pair)
+                else:
+                    found.append(pair)
+        return [p for _, p in found.values()] if best else found
+
+    def walk(batches):
+        held = []
+
+        def close():
+            t = pa.Table.from_batches(held)
+            held.clear()
+            col = {c: t.column(c).to_numpy() for c in ("own", "cid", "comp", "n_shingles", "mask")}
+            sig, extra = _profiles(t.column("profile").to_pylist())
+            pairs = compare(t.column("i")[0].as_py(), t.column("j")[0].as_py(), t.column("coord")[0].as_py(), col["own"], col["cid"], col["comp"], col["n_shingles"], col["mask"], sig, extra)
+            a, b = zip(*pairs) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        last = None
+        for batch in batches:
+            marks = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
+            lo = 0
+            for at in range(1, len(marks) + 1):
+                if at == len(marks) or marks[at] != marks[lo]:
+                    if held and marks[lo] != last:
+                        yield close()
+                    held.append(batch.slice(lo, at - lo))
+                    last, lo = marks[lo], at
+        if held:
+            yield close()
+
+    return ready.mapInArrow(walk, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -259,15 +310,17 @@ def near_duplicates(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERC
     if percent < PERCENT:
         raise ValueError(f"percent must be at least {PERCENT}")
     signed = stage(document_signatures(docs, size), "signatures")
-    alike = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("extra").alias("extra"))
+    alike = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
     classes = stage(alike.withColumn("cid", F.monotonically_increasing_id()), "classes")
     prefix = stage(_prefixes(classes), "prefixes")
     wanted = classes.select("cid", "node", "first_doc").join(prefix.select("cid").distinct(), "cid", "left_semi")
     sets = stage(_sets(docs, wanted, size), "sets")
-    first = stage(_confirm(_first_pairs(prefix, classes), sets, percent), "links")
-    pairs = stage(_open_pairs(prefix, classes, first), "pairs")
-    links = first.unionByName(_confirm(pairs, sets, percent))
-    comps = components(stage(links, "links"))
+    links = stage(_confirm(_first_pairs(prefix, sets), sets, percent), "links")
+    comps = components(links)
+    for best in (True, False):
+        pairs = stage(_open_pairs(prefix, sets, comps, percent, best=best), "pairs")
+        links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
+        comps = components(links)
     member = classes.select("node", "cid", "first_doc").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("node", "first_doc", F.coalesce("comp", "cid").alias("comp"))
     smallest = member.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
     labels = member.join(smallest, "comp").select("node", "component_id")
