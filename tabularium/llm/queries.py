@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .decontam import op9_bm25_decontamination
+from .fixity import OP8_SQL, op8_merkle_fixity
 from .htmltext import op2_consensus_host_paths
 from .neardup import op5_minhash_near_dedup
 from .packing import op10_best_fit_packing
@@ -19,10 +21,13 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_digest_filter": op6_url_digest_filter,
     "op7_token_ids": op7_token_ids,
+    "op8_merkle_fixity": op8_merkle_fixity,
+    "op9_bm25_decontamination": op9_bm25_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
     "op3_quality_rules": OP3_SQL,
     "op6_url_digest_filter": OP6_SQL,
+    "op8_merkle_fixity": OP8_SQL,
 }
