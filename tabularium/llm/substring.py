@@ -30,7 +30,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import stage, table
-from .words import split_words, windows
+from .words import mix, split_words, windows
 
 WINDOW = 50
 PHRASE = 26
@@ -39,17 +39,37 @@ SHARD_DOCS = 1000
 SHARD_WORDS = 1_500_000
 
 
-def anchors(hashes: np.ndarray, window: int, phrase: int):
-    """For each anchor of a document: its place, hash, first window, number of windows."""
-    grams = windows(hashes, phrase)
+def _sliding_min(x: np.ndarray, size: int) -> np.ndarray:
+    """Minimum of each run of ``size``, by doubling."""
+    done = 1
+    while 2 * done <= size:
+        x = np.minimum(x[:-done], x[done:])
+        done *= 2
+    rest = size - done
+    return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
+
+
+def anchors(hashes: np.ndarray, cuts: np.ndarray, window: int, phrase: int):
+    """The runs of windows with one anchor, of many documents at once.
+
+    For each run: its document, anchor's hash and place, first window and number
+    of windows; windows and places are counted over all words.
+    """
+    none = np.zeros(0, np.int64)
     span = window - phrase + 1
-    if len(grams) < span:
-        none = np.zeros(0, np.int64)
-        return none, np.zeros(0, np.uint64), none, none
-    at = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
-    first = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0]
-    count = np.diff(np.concatenate([first, [len(at)]]))
-    return at[first], grams[at[first]], first, count
+    if len(hashes) < window:
+        return none, np.zeros(0, np.uint64), none, none, none
+    grams = windows(hashes, phrase)
+    least = _sliding_min(grams, span)
+    doc = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    valid = np.nonzero(doc[: len(least)] == doc[window - 1 :])[0]
+    if not len(valid):
+        return none, np.zeros(0, np.uint64), none, none, none
+    of = least[valid]
+    at = np.nonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (valid[1:] != valid[:-1] + 1) | (doc[valid[1:]] != doc[valid[:-1]])]))[0]
+    first = valid[at]
+    place = first + grams[first[:, None] + np.arange(span)].argmin(axis=1)
+    return doc[first], of[at], place, first, np.diff(np.concatenate([at, [len(valid)]]))
 
 
 def _rows(batches, rows: int):
@@ -67,36 +87,62 @@ def _fingerprints(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     def find(batches):
         for batch in _rows(batches, 1000):
             w = split_words(batch.column(2))
-            rows, fps = [], []
-            for i in range(batch.num_rows):
-                _, fp, _, _ = anchors(w.hashes[w.cuts[i] : w.cuts[i + 1]], window, phrase)
-                if len(fp):
-                    fps.append(np.unique(fp))
-                    rows.append(np.full(len(fps[-1]), i))
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(fps).view(np.int64))], ["doc_id", "th", "fp"])
+            doc, fp, _, _, _ = anchors(w.hashes, w.cuts, window, phrase)
+            if len(doc):
+                order = np.lexsort((fp, doc))
+                doc, fp = doc[order], fp[order]
+                once = np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])])
+                at = pa.array(doc[once])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp[once].view(np.int64))], ["doc_id", "th", "fp"])
 
     return docs.filter("doc_id is not null").mapInArrow(find, "doc_id long, th long, fp long")
 
 
-def locate(codes: list[np.ndarray], wanted: list[list[int]], phrase: int) -> list[np.ndarray]:
-    """Places of the wanted phrases, given by one place each, in every document of a shard.
+def locate(codes: np.ndarray, cuts: np.ndarray, places: np.ndarray, phrase: int) -> np.ndarray:
+    """Where the phrases that start at ``places`` occur in the documents of a shard, ascending.
 
-    ``codes``: the documents' words as small numbers; ``wanted``: places at which
-    a phrase to look for starts.  One automaton, one pass over each document.
+    ``codes``: the words of all documents as numbers from 1.  One automaton, one
+    pass; a character that no phrase has stands between documents.
     """
     import ahocorasick
 
-    texts = [(c + (c >= 0xD800) * 0x800).astype("<u4").tobytes().decode("utf-32-le") for c in codes]
-    automaton = ahocorasick.Automaton()
-    for text, places in zip(texts, wanted):
-        for p in places:
-            automaton.add_word(text[p : p + phrase], 1)
-    if not len(automaton):
-        return [np.zeros(0, np.int64) for _ in texts]
+    if not len(places):
+        return np.zeros(0, np.int64)
+    n_docs = len(cuts) - 1
+    # Word k of document d is character k + d, since each document before has one more.
+    doc = np.repeat(np.arange(n_docs), np.diff(cuts))
+    text = np.zeros(len(codes) + n_docs, np.uint32)
+    text[np.arange(len(codes)) + doc] = codes + (codes >= 0xD800) * 0x800
+    whole = text.astype("<u4").tobytes().decode("utf-32-le")
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for p in (places + doc[places]).tolist():
+        automaton.add_word(whole[p : p + phrase], 1)
     automaton.make_automaton()
-    return [np.fromiter((end - phrase + 1 for end, _ in automaton.iter(t)), np.int64) for t in texts]
+    ends = np.fromiter((end for end, _ in automaton.iter(whole)), np.int64)
+    # Back from characters to words: the document of a character, then its offset.
+    begin = ends - phrase + 1
+    return begin - np.searchsorted(cuts[1:] + np.arange(1, n_docs + 1), begin, "right")
+
+
+def _pair(doc: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(fp ^ mix(doc.astype(np.uint64) + np.uint64(1)))
+
+
+_ODD = np.uint64(0x2545F4914F6CDD1D)
+_ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
+
+
+def _span_hashes(hashes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """One hash for each run of words, from prefix sums."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        steps, back = np.full(n, _ODD, np.uint64), np.full(n, _ODD_INVERSE, np.uint64)
+        if n:
+            steps[0] = back[0] = 1
+        steps, back = np.multiply.accumulate(steps), np.multiply.accumulate(back)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes) * steps)])
+        return mix((sums[first + length] - sums[first]) * back[first] + length.astype(np.uint64))
 
 
 _SEGMENTS = "doc_id long, th long, fp long, first int, segment long, hashes array<long>"
@@ -107,25 +153,24 @@ def _segments(affected: DataFrame, window: int, phrase: int) -> DataFrame:
 
     def shard(batch):
         w = split_words(batch.column(2))
-        docs = [w.hashes[w.cuts[i] : w.cuts[i + 1]] for i in range(batch.num_rows)]
+        doc, fp, place, first, count = anchors(w.hashes, w.cuts, window, phrase)
+        lists = batch.column(3)
+        # Recurring phrases by document: pairs of both, compared as one sorted list.
+        known = np.sort(_pair(np.repeat(np.arange(batch.num_rows), np.diff(np.array(lists.offsets))), np.array(lists.flatten()).view(np.uint64)))
+        mine = _pair(doc, fp)
+        found = np.searchsorted(known, mine)
+        hit = (found < len(known)) & (known[np.minimum(found, len(known) - 1)] == mine) if len(known) else np.zeros(len(mine), bool)
+        once = np.unique(fp[hit], return_index=True)[1]
         _, codes = np.unique(w.hashes, return_inverse=True)
-        codes = [codes[w.cuts[i] : w.cuts[i + 1]] + 1 for i in range(batch.num_rows)]
-        found = [anchors(d, window, phrase) for d in docs]
-        recurring = [np.array(x, np.int64).view(np.uint64) for x in batch.column(3).to_pylist()]
-        wanted = [at[np.isin(fp, r)].tolist() for (at, fp, _, _), r in zip(found, recurring)]
-        out_row, out = [], ([], [], [], [])
-        for i, (places, (at, fp, first, count)) in enumerate(zip(locate(codes, wanted, phrase), found)):
-            hit = np.isin(at, places)
-            hashes = windows(docs[i], window)
-            for f, lo, n in zip(fp[hit].view(np.int64).tolist(), first[hit].tolist(), count[hit].tolist()):
-                part = hashes[lo : lo + n]
-                out_row.append(i)
-                out[0].append(f)
-                out[1].append(lo)
-                out[2].append(int.from_bytes(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), "little", signed=True))
-                out[3].append(part.view(np.int64))
-        at = pa.array(out_row, pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64()))], ["doc_id", "th", "fp", "first", "segment", "hashes"])
+        hit &= np.isin(place, locate(codes + 1, w.cuts, place[hit][once], phrase))
+        doc, fp, first, count = doc[hit], fp[hit], first[hit], count[hit]
+        each = windows(w.hashes, window).view(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(count)])
+        rows = np.repeat(first - offsets[:-1], count) + np.arange(offsets[-1])
+        at = pa.array(doc)
+        hashes = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(each[rows]))
+        segment = _span_hashes(w.hashes, first, count + window - 1)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp.view(np.int64)), pa.array((first - w.cuts[doc]).astype(np.int32)), pa.array(segment.view(np.int64)), hashes], ["doc_id", "th", "fp", "first", "segment", "hashes"])
 
     def stream(batches):
         # Shards end early at long texts, so that the automaton stays bounded.
@@ -147,8 +192,10 @@ def _removed_windows(segments: DataFrame) -> DataFrame:
     each = variants.join(several, "fp", "left_semi").select("fp", "segment", "first_doc", F.posexplode("hashes").alias("k", "h"))
     earliest = each.groupBy("fp", "h").agg(F.min("first_doc").alias("lo"), F.max("first_doc").alias("hi")).filter("lo < hi").select("fp", "h", "lo")
     inside = each.join(earliest, ["fp", "h"]).filter("lo < first_doc").groupBy("fp", "segment").agg(F.collect_set("k").alias("ks"))
-    mine = segments.select("doc_id", "th", "fp", "segment", "first", F.size("hashes").alias("n")).join(variants.select("fp", "segment", "first_doc"), ["fp", "segment"])
-    mine = mine.join(inside, ["fp", "segment"], "left")
+    # One join of the many rows with the distinct ones, so that a segment with very many holders can be split.
+    judged = variants.select("fp", "segment", "first_doc").join(inside, ["fp", "segment"], "left")
+    judged = stage(judged, "judged")
+    mine = segments.select("doc_id", "th", "fp", "segment", "first", F.size("hashes").alias("n")).join(judged, ["fp", "segment"])
     # Later holders of a segment lose all of its windows, the first one those that another segment had before.
     ks = F.when(F.col("doc_id") > F.col("first_doc"), F.array(F.struct(F.col("first").alias("a"), (F.col("first") + F.col("n") - 1).alias("b"))))
     ks = ks.otherwise(F.transform(F.coalesce("ks", F.array().cast("array<int>")), lambda k: F.struct((F.col("first") + k).alias("a"), (F.col("first") + k).alias("b"))))
