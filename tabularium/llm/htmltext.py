@@ -149,18 +149,18 @@ def blocks(page: str) -> list[tuple[str, int, _Element]]:
 
 
 def best_path(found) -> str | None:
-    """The path of the container with the highest score; of equals, the first in the page."""
+    """The path of the container with the highest score; of equals, the first in the page. The page itself, with an empty path, is the outermost."""
     scored: dict[int, _Element] = {}
     for text, linked, holder in found:
         weight = max(0, len(text) - 2 * linked)
         for share in (1.0, 0.5):
-            if holder is None or not holder.path:
+            if holder is None:
                 break
             holder.score += share * weight
             scored.setdefault(id(holder), holder)
             holder = holder.above
     best = max(scored.values(), key=lambda e: e.score, default=None)
-    return best.path if best else None
+    return None if best is None else best.path
 
 
 def text_at(found, path: str | None) -> str:

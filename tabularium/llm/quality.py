@@ -140,23 +140,21 @@ def _verdict(judged: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return marked.withColumn("base_failed", base).withColumn("kept", ~base & ~rejected)
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, *, risk: float = RISK) -> DataFrame:
     """Statistics and verdict of every row; repeated rows are judged alike, a null language is a stratum of its own."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("stratum"))
     judged = stage(statistics(slim).select("doc_id", "stratum", "q.*"), "quality")
-    cutoffs = stage(certified_cutoffs(judged, labels), "cutoffs")
+    cutoffs = stage(certified_cutoffs(judged, labels, risk=risk), "cutoffs")
     return _verdict(judged, cutoffs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def kept_documents(docs: DataFrame, labels: DataFrame, *, risk: float = RISK) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
     columns = docs.columns
-    stratum, row = "__stratum", "__row"
-    made = stage(statistics(docs.withColumn(stratum, F.coalesce("lang", F.lit("")))), "quality")
-    judged = made.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).alias("stratum"), "q.*")
-    cutoffs = stage(certified_cutoffs(judged, labels), "cutoffs")
-    packed = made.select(F.struct(*columns).alias(row), F.col(stratum).alias("stratum"), "q.*")
-    return _verdict(packed, cutoffs).filter("kept").select(f"{row}.*")
+    packed = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("stratum"))
+    made = stage(statistics(packed).select("row", "doc_id", "stratum", "q.*"), "quality")
+    cutoffs = stage(certified_cutoffs(made.drop("row"), labels, risk=risk), "cutoffs")
+    return _verdict(made, cutoffs).filter("kept").select("row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
