@@ -90,4 +90,4 @@ def parse_view(markdown: str) -> View:
     if found.get("type") != "View":
         raise ValueError("not a view")
     inputs = found.get("inputs") or []
-    return View(found.get("name") or "", found.get("sql") or "", tuple(i.lower() + ("s" if not i.endswith("s") else "") if i[:1].isupper() else i for i in inputs), found.get("output") or "", found.get("purpose") or None)
+    return View(found.get("name") or "", found.get("sql") or "", tuple(inputs), found.get("output") or "", found.get("purpose") or None)
