@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contracts
 from ..functions.text import upper_plain
+from .files import exists
 from .landing import is_valid_month
 
 
@@ -30,9 +29,9 @@ class Snapshot:
     def open(cls, spark: SparkSession, folder: str, month: str | None = None) -> "Snapshot":
         if month is not None and not is_valid_month(month):
             raise ValueError(f"not a month: {month}")
-        path = lambda name: os.path.join(folder, f"{name}.parquet")
+        path = lambda name: f"{folder}/{name}.parquet"
         names = [*contracts.PRODUCTS, *(f"lookups/{k}" for k in contracts.LOOKUP_KINDS)]
-        missing = [n for n in names if not os.path.exists(path(n))]
+        missing = [n for n in names if not exists(spark, path(n))]
         if missing:
             raise FileNotFoundError(f"{folder} lacks {', '.join(missing)}")
         read = {n: spark.read.parquet(path(n)) for n in names}

@@ -380,6 +380,9 @@ def test_k4_failed_check_publishes_nothing(spark, tmp_path):
     with pytest.raises(RuntimeError):
         lifecycle.write_whole(spark.range(9).toDF("n"), path, check=refuse)
     assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t.parquet"]
+    os.mkdir(tmp_path / "x.partial")
+    lifecycle.discard(spark, str(tmp_path))
+    assert os.listdir(tmp_path) == ["t.parquet"]
 
 
 def test_k2_numbers_sort_as_numbers(spark):
@@ -390,11 +393,13 @@ def test_k2_numbers_sort_as_numbers(spark):
 def test_k10_manifest(spark, published, tmp_path):
     folder, _ = published
     entry = lifecycle.snapshot_entry(spark, folder, "2026-04", generated_at="x")
+    data = open(f"{folder}/lookups.json", "rb").read()
+    assert (entry["files"]["lookups.json"]["size"], entry["files"]["lookups.json"]["sha1"]) == (len(data), hashlib.sha1(data).hexdigest())
     assert entry["row_counts"]["cnpjs"] == 5 and entry["files"]["cnpj_cnaes"]["sort"] == ["cnae_codigo", "posicao", "cnpj_base"] and len(entry["files"]) == 14
     path = str(tmp_path / "manifest.json")
-    lifecycle.upsert_manifest(path, entry | {"date": "2026-03"})
-    lifecycle.upsert_manifest(path, entry)
-    m = lifecycle.upsert_manifest(path, entry | {"mark": 1})
+    lifecycle.upsert_manifest(spark, path, entry | {"date": "2026-03"})
+    lifecycle.upsert_manifest(spark, path, entry)
+    m = lifecycle.upsert_manifest(spark, path, entry | {"mark": 1})
     assert m["current"] == "2026-04" and [s["date"] for s in m["snapshots"]] == ["2026-04", "2026-03"] and m["snapshots"][0]["mark"] == 1
     with pytest.raises(FileNotFoundError):
         lifecycle.snapshot_entry(spark, str(tmp_path), "2026-04")
@@ -423,13 +428,13 @@ def test_k11_k12_k13_k14_decisions():
     assert p("socios", {"size": 1}, lambda: (["cnpj_base"], 1))[0] == "REUSABLE" and p("socios", {"size": 1}, lambda: (["x"], 1))[0] == p("socios", {"size": 1}, lambda: (["cnpj_base"], 0))[0] == "INVALID"
 
 
-def test_c19_checkpoint(tmp_path):
+def test_c19_checkpoint(spark, tmp_path):
     out, report = tmp_path / "o.bin", str(tmp_path / "r.json")
     out.write_bytes(b"x")
-    lifecycle.write_checkpoint(report, {"a": "1"}, "code", str(out))
-    assert lifecycle.reusable_checkpoint(report, {"a": "1"}, "code") and not lifecycle.reusable_checkpoint(report, {"a": "2"}, "code") and not lifecycle.reusable_checkpoint(report, {"a": "1"}, "new")
+    lifecycle.write_checkpoint(spark, report, {"a": "1"}, "code", str(out))
+    assert lifecycle.reusable_checkpoint(spark, report, {"a": "1"}, "code") and not lifecycle.reusable_checkpoint(spark, report, {"a": "2"}, "code") and not lifecycle.reusable_checkpoint(spark, report, {"a": "1"}, "new")
     out.write_bytes(b"y")
-    assert lifecycle.reusable_checkpoint(report, {"a": "1"}, "code") is None and lifecycle.reusable_checkpoint(str(tmp_path / "no"), {}, "") is None
+    assert lifecycle.reusable_checkpoint(spark, report, {"a": "1"}, "code") is None and lifecycle.reusable_checkpoint(spark, str(tmp_path / "no"), {}, "") is None
 
 
 def test_c20_schedule():
