@@ -2,18 +2,16 @@
 
 Rules are ``host/path-prefix`` strings with a verdict.  The driver hashes every
 rule to a 64-bit xxhash key, sorts the keys and writes one file: keys, verdicts,
-string offsets, strings.  The file is a stated list, not corpus data, and goes
-to the executors through ``SparkContext.addFile``, which also serves executors
-that join later.  Each worker memory-maps it, probes all candidate keys of a
+string offsets, strings.  The file is a stated list, not corpus data; it lies in
+the shared folder and goes to the executors through ``SparkContext.addFile``,
+which also serves executors that join later.  Each worker memory-maps it, probes all candidate keys of a
 batch with one vectorised binary search and confirms hits against the stored
 strings, so two strings with one digest are never confused.
 """
 
 from __future__ import annotations
 
-import os
 import struct
-import tempfile
 import uuid
 
 import numpy as np
@@ -23,7 +21,7 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ascii_lower, table
+from .common import ascii_lower, shared_dir, table, tidy
 
 MAGIC = b"SDA1"
 #: The query's rules: (host and path prefix, verdict).
@@ -43,18 +41,34 @@ def digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
-def write_digest_file(rules, path: str) -> None:
-    """Keys ascending; equal digests of different strings stand side by side. A rule given twice counts as last given."""
+def digest_bytes(rules) -> bytes:
+    """The file's content. Keys ascending; equal digests of different strings stand side by side. A rule given twice counts as last given."""
     rows = sorted((digest(k), k.encode("utf-8", "surrogatepass"), VERDICTS.index(v)) for k, v in dict(rules).items())
     lengths = sorted({len(k) - k.index("/") for k, _ in dict(rules).items()})
     ends = np.cumsum([len(r[1]) for r in rows], dtype="<u8") if rows else np.zeros(0, "<u8")
-    with open(path, "wb") as f:
-        f.write(MAGIC + struct.pack("<III", len(rows), len(lengths), 0))
-        f.write(np.array([r[0] for r in rows], "<u8").tobytes())
-        f.write(np.concatenate([[0], ends]).astype("<u8").tobytes())
-        f.write(np.array(lengths, "<u8").tobytes())
-        f.write(np.array([r[2] for r in rows], np.uint8).tobytes())
-        f.write(b"".join(r[1] for r in rows))
+    parts = [
+        MAGIC + struct.pack("<III", len(rows), len(lengths), 0),
+        np.array([r[0] for r in rows], "<u8").tobytes(),
+        np.concatenate([[0], ends]).astype("<u8").tobytes(),
+        np.array(lengths, "<u8").tobytes(),
+        np.array([r[2] for r in rows], np.uint8).tobytes(),
+        *(r[1] for r in rows),
+    ]
+    return b"".join(parts)
+
+
+def publish_digests(spark: SparkSession, rules) -> str:
+    """Name under which executors find the file: written to the shared folder and added to the session's files."""
+    name = f"digests-{uuid.uuid4().hex}.sda"
+    target = f"{shared_dir(spark)}/tabularium/{name}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(digest_bytes(rules)))
+    finally:
+        out.close()
+    spark.sparkContext.addFile(target)
+    return name
 
 
 class DigestArray:
@@ -124,11 +138,7 @@ def judge_urls(pages: DataFrame, rules=RULES, *, default: str = DEFAULT_VERDICT,
 
     The longest fitting rule wins; of equally long ones, that of the longer host.
     """
-    spark = pages.sparkSession
-    folder = tempfile.mkdtemp(prefix="digests-")
-    name = f"digests-{uuid.uuid4().hex}.sda"
-    write_digest_file(rules, os.path.join(folder, name))
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    name = publish_digests(pages.sparkSession, rules)
 
     def judge(batches):
         array = DigestArray(SparkFiles.get(name))
@@ -153,7 +163,7 @@ def judge_urls(pages: DataFrame, rules=RULES, *, default: str = DEFAULT_VERDICT,
 
     host, path = host_and_path(url)
     parsed = pages.select(F.col(key).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    return parsed.mapInArrow(judge, "page_id long, host string, path string, rule string, verdict string")
+    return parsed.mapInArrow(tidy(judge), "page_id long, host string, path string, rule string, verdict string")
 
 
 def op6_url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
