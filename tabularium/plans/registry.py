@@ -10,7 +10,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
-from ..contracts import PRODUCT_SCHEMAS
+from ..contracts import CONTRACTS, PRODUCT_SCHEMAS
 from ..functions import taxid, text, types
 from ..operators import documents, products, quality, search
 from .testbed import TABLES, ctes, raw_tables, read
@@ -183,6 +183,19 @@ def p18_replace_column(b: Bed) -> DataFrame:
     return b.nation.withColumn("n_name", F.concat(F.upper("n_name"), F.lit("!")))
 
 
+_TYPED = """
+SELECT cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel, try_cast(replace(capital_social, ',', '.') AS decimal(18,2))::varchar AS capital_social, porte_empresa, ente_federativo_responsavel,
+  'part-' || right(cnpj_basico, 1) AS _source_file, '2026-04' AS _source_snapshot FROM empresa
+"""
+
+
+@over(f"WITH {ctes('empresa')} z AS (SELECT 1) {_TYPED}")
+def p3_c9_typed_projection(b: Bed) -> DataFrame:
+    raw = quality.collapse(b.raw["empresa"].unionByName(b.raw["empresa"]), ("cnpj_basico",))
+    out = quality.typed(raw, CONTRACTS["empresa"], source_file=F.concat(F.lit("part-"), F.right("cnpj_basico", F.lit(1))), snapshot="2026-04")
+    return out.withColumn("capital_social", F.col("capital_social").cast("string"))
+
+
 # ---- joins ----
 
 
@@ -395,6 +408,14 @@ def o7_child_order_nulls_last(b: Bed) -> DataFrame:
     return o.groupBy("c_custkey").agg(F.collect_list("x").alias("all")).select("c_custkey", F.array_join(F.transform(rows, lambda x: x["k"].cast("string")), ",").alias("ordered"))
 
 
+@over("SELECT count(*) AS keys, 0::BIGINT AS out_of_order FROM (SELECT DISTINCT c_custkey FROM customer)")
+def o8_increasing_keys(b: Bed) -> DataFrame:
+    """Keys that do not follow the one before them, within the range partitions that a sorted writer makes."""
+    w = Window.partitionBy(F.spark_partition_id()).orderBy("c_custkey")
+    keys = b.customer.repartitionByRange("c_custkey").withColumn("before", F.lag("c_custkey").over(w))
+    return keys.agg(F.count("*").alias("keys"), F.count_if(F.col("c_custkey") <= F.col("before")).alias("out_of_order"))
+
+
 # ---- sets ----
 
 
@@ -441,10 +462,10 @@ def f6_f7_c5_street(b: Bed) -> DataFrame:
     return b.raw["estabelecimento"].select(products.full_id().alias("cnpj"), text.street(F.col("logradouro")).alias("street"))
 
 
-@over(f"WITH {ctes('empresa')} z AS (SELECT 1) SELECT cnpj_basico, try_cast(replace(capital_social, ',', '.') AS double) AS as_double, try_cast(replace(capital_social, ',', '.') AS decimal(18,2)) AS as_decimal FROM empresa")
+@over(f"WITH {ctes('empresa')} z AS (SELECT 1) SELECT cnpj_basico, try_cast(replace(capital_social, ',', '.') AS double) AS as_double, try_cast(replace(capital_social, ',', '.') AS decimal(18,2))::varchar AS as_decimal FROM empresa")
 def f8_comma_numbers(b: Bed) -> DataFrame:
     c = F.col("capital_social")
-    return b.raw["empresa"].select("cnpj_basico", types.comma_double(c).alias("as_double"), types.comma_decimal(c).alias("as_decimal"))
+    return b.raw["empresa"].select("cnpj_basico", types.comma_double(c).alias("as_double"), types.comma_decimal(c).cast("string").alias("as_decimal"))
 
 
 @over(f"WITH {ctes('estabelecimento')} z AS (SELECT 1) SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, try_cast(numero AS integer) AS number FROM estabelecimento")
@@ -701,9 +722,9 @@ def c18_equivalent_plans(b: Bed) -> DataFrame:
     return quality.bag_difference(one.select(*two.columns), two)
 
 
-@over("SELECT count(*) AS n, sum(('0x' || substr(sha256(to_json({'n_nationkey': n_nationkey, 'n_name': n_name})), 1, 12))::BIGINT)::DECIMAL(38,0) AS checksum FROM nation")
+@over("SELECT count(*) AS n, sum(('0x' || substr(sha256(to_json({'n_nationkey': n_nationkey, 'n_name': n_name})), 1, 12))::BIGINT)::VARCHAR AS checksum FROM nation")
 def a15_unordered_checksum(b: Bed) -> DataFrame:
-    return quality.checksum(b.nation, ["n_nationkey", "n_name"])
+    return quality.checksum(b.nation, ["n_nationkey", "n_name"]).withColumn("checksum", F.col("checksum").cast("string"))
 
 
 # ---- searches and views ----
