@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +52,41 @@ def maybe_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
 
 
+def trim_memory() -> None:
+    """Give freed memory back to the system; workers are reused, and idle ones count too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def forget_tokens() -> None:
+    """Drop the chunk memo that a tokenising task left in this worker, and return its memory."""
+    module = sys.modules.get("tabularium.llm.tokens")
+    if module and module.forget():
+        trim_memory()
+
+
+def tidy(f, *, tokens: bool = False):
+    """``f`` (batches to batches) for a reused worker: without what other stages kept, and trimmed at its end."""
+
+    def run(batches):
+        if not tokens:
+            forget_tokens()
+        yield from f(batches)
+        trim_memory()
+
+    return run
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of the shared folder. For when results that still read them have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tabularium")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import table, tidy
 from .words import mix, split_words, string_buffers
 
 THRESHOLD = 0.8
@@ -276,7 +276,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 cols = list(zip(*rows)) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        found = found.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, schema))
+        found = found.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(find), schema))
     return found.groupBy("doc_id", "item_id").agg(*[F.round(F.max(c), 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
 
 
@@ -291,7 +291,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
             for part, leaks in _searched(batches, index.value, 1):
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array([not x for x in leaks], pa.bool_()))], ["row"])
 
-        docs = docs.select(F.struct(*columns).alias("row"), "text").mapInArrow(keep, f"row {kind}").select("row.*")
+        docs = docs.select(F.struct(*columns).alias("row"), "text").mapInArrow(tidy(keep), f"row {kind}").select("row.*")
     return docs
 
 

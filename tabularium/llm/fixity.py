@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table
+from .common import stage, table, tidy
 
 FAN = 16
 SEGMENT_BYTES = 4 << 20
@@ -94,7 +94,7 @@ def write_archive(pages: DataFrame, *, segment_bytes: int = SEGMENT_BYTES) -> Da
         if index:
             yield close()
 
-    return stage(ordered.mapInArrow(write, _ARCHIVE), "warc")
+    return stage(ordered.mapInArrow(tidy(write), _ARCHIVE), "warc")
 
 
 def damage(archive: DataFrame, divisor: int = DAMAGED) -> DataFrame:
@@ -109,7 +109,7 @@ def damage(archive: DataFrame, divisor: int = DAMAGED) -> DataFrame:
                         data[(r["start"] + r["end"]) // 2] ^= 1
                 yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([row["segment"]], pa.int32()), pa.array([row["index"]], _INDEX), pa.array([bytes(data)], pa.binary())], ["part", "segment", "index", "data"])
 
-    return stage(archive.mapInArrow(flip, _ARCHIVE), "warc")
+    return stage(archive.mapInArrow(tidy(flip), _ARCHIVE), "warc")
 
 
 def levels(leaves: list[bytes]) -> list[list[bytes]]:
@@ -133,7 +133,7 @@ def segment_nodes(replica: DataFrame) -> DataFrame:
                 n = len(rows)
                 yield pa.RecordBatch.from_arrays([pa.array([row["part"]] * n, pa.int32()), pa.array([row["segment"]] * n, pa.int32()), pa.array(lv, pa.int32()), pa.array(nd, pa.int32()), pa.array(hs, pa.binary()), pa.array([k == len(tree) - 1 for k in lv])], ["part", "segment", "level", "node", "hash", "top"])
 
-    return replica.mapInArrow(build, "part int, segment int, level int, node int, hash binary, top boolean")
+    return replica.mapInArrow(tidy(build), "part int, segment int, level int, node int, hash binary, top boolean")
 
 
 def _over(rows: DataFrame, group: str, order: str) -> DataFrame:
@@ -192,7 +192,7 @@ def contents(archive: DataFrame) -> DataFrame:
                     ["part", "segment", "node", "page_id", "start", "length", "payload_sha256"],
                 )
 
-    return archive.mapInArrow(read, "part int, segment int, node int, page_id long, start long, length long, payload_sha256 string")
+    return archive.mapInArrow(tidy(read), "part int, segment int, node int, page_id long, start long, length long, payload_sha256 string")
 
 
 def audit(archive: DataFrame, replica: DataFrame) -> DataFrame:

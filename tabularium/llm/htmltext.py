@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import maybe_broadcast, stage, table
+from .common import maybe_broadcast, stage, table, tidy
 from .urlfilter import host_and_path
 
 _TAG = re.compile(r"<!--(?:>|->|.*?(?:-->|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?|<[!?/][^>]*>?", re.S)
@@ -184,7 +184,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([best_path(blocks(h)) for h in batch.column(1).to_pylist()], pa.string())], ["host", "path"])
 
-    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string").filter("path is not null")
+    votes = pages.select("host", "html").mapInArrow(tidy(vote), "host string, path string").filter("path is not null")
     counted = votes.groupBy("host", "path").agg(F.count("*").alias("n"))
     winners = counted.groupBy("host").agg(F.min_by("path", F.struct((-F.col("n")).alias("n"), "path")).alias("path"))
 
@@ -197,7 +197,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     joined = pages.join(maybe_broadcast(stage(winners, "paths")), "host", "left").select("page_id", "url", "html", "path")
-    return joined.mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return joined.mapInArrow(tidy(read), "page_id long, url string, text string, n_chars long")
 
 
 def op2_consensus_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

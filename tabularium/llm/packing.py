@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table
+from .common import stage, table, tidy
 from .tokens import crc_ids, default_vocabulary, encoder
 
 CAPACITY = 1024
@@ -52,7 +52,7 @@ def cut_pieces(docs: DataFrame, *, vocabulary: str | None = None, end_id: int =
                         at, piece = upto, piece + 1
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(cut, _PIECES)
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(tidy(cut, tokens=True), _PIECES)
 
 
 def best_fit(lengths, capacity: int) -> list[list[int]]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import BROADCAST_ROWS, maybe_broadcast, stage, table
+from .common import BROADCAST_ROWS, maybe_broadcast, stage, table, tidy
 from .words import split_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -143,7 +143,7 @@ def _scan(docs: DataFrame, row_type: str) -> DataFrame:
             counts = [pa.array([sum(s[0] == k for s in own) for own in spans], pa.int64()) for k in KINDS]
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(map(spelled, spans), pa.string()), pa.array(found, kind)], ["row", *(f"n_{k}" for k in KINDS), "base", "found"])
 
-    return docs.mapInArrow(scan, f"row {row_type}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, found {_FOUND}")
+    return docs.mapInArrow(tidy(scan), f"row {row_type}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, found {_FOUND}")
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -186,13 +186,13 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
                 h, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    totals = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("total"))
+    totals = texts.mapInArrow(tidy(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("total"))
 
     def name(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashed(batch.column(1).to_pylist()).view(np.int64))], ["pattern", "h"])
 
-    named = patterns.select("pattern", "words").mapInArrow(name, "pattern long, h long")
+    named = patterns.select("pattern", "words").mapInArrow(tidy(name), "pattern long, h long")
     return named.join(totals, "h").select("pattern", "total")
 
 
@@ -267,7 +267,7 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "masked"])
 
     kind = found.schema["row"].dataType.simpleString()
-    masked = found.select("row", "row.text", "spans").mapInArrow(mask, f"row {kind}, masked string")
+    masked = found.select("row", "row.text", "spans").mapInArrow(tidy(mask), f"row {kind}, masked string")
     out = {c: F.col(f"row.{c}") for c in columns} | {"text": F.col("masked")}
     if "n_chars" in out:
         out["n_chars"] = F.when(F.col("masked").isNotNull(), F.length("masked")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)

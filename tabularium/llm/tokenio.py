@@ -25,7 +25,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import maybe_broadcast, stage
+from .common import maybe_broadcast, stage, tidy
 from .tokens import crc_ids, default_vocabulary, encoder
 
 MAGIC = b"TCM1"
@@ -307,7 +307,7 @@ def write_tokens(docs: DataFrame, *, vocabulary: str | None = None, end_id: int
         if keys:
             yield close()
 
-    return stage(ordered.mapInArrow(write, _SEGMENTS), "tokens")
+    return stage(ordered.mapInArrow(tidy(write, tokens=True), _SEGMENTS), "tokens")
 
 
 _DOCS = "doc_id long, part int, in_part long, n_tokens long, ids_crc32 long"
@@ -332,7 +332,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
         rows.append((part, before))
         before += n
     starts = spark.createDataFrame(rows, StructType([StructField("part", IntegerType()), StructField("before", LongType())]))
-    found = segments.select("part", "in_part", "blob").mapInArrow(read, _DOCS)
+    found = segments.select("part", "in_part", "blob").mapInArrow(tidy(read), _DOCS)
     return found.join(maybe_broadcast(starts), "part").select("doc_id", (F.col("before") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32")
 
 

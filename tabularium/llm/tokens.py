@@ -16,7 +16,7 @@ import zlib
 
 import numpy as np
 
-#: Entries after which a worker forgets its memo; bounds it to some 250 MB.
+#: Entries after which a worker forgets its memo; bounds it to some 180 MB.
 MEMO_ENTRIES = 1_000_000
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 #: ASCII only: none of these is a letter, a number or white space anywhere.
@@ -60,8 +60,8 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
-    def _learn(self, chunks: set[str], lead: str) -> None:
-        """Adds ``chunks`` to the memo of those that follow ``lead``.
+    def _learn(self, chunks: set[str], lead: str) -> dict[str, bytes]:
+        """The ids of ``chunks`` that follow ``lead``; letters are added to the memo, the rest seldom comes back.
 
         Letters, ASCII punctuation after letters, and a line feed between
         either and letters are pre-tokens of their own, so chunks made of
@@ -70,7 +70,7 @@ class ChunkEncoder:
         form feed is a pre-token of its own too.
         """
         memo, plain, marks = self.memo[lead], self.memo[""], self.marks
-        letters, line_starts, others, built = set(), set(), [], []
+        letters, line_starts, others, built, out = set(), set(), [], [], {}
         for c in chunks:
             body = c.rstrip(_PUNCTUATION)
             if body.isalpha():
@@ -94,14 +94,15 @@ class ChunkEncoder:
         self._learn_letters(line_starts, "")
         for at in range(0, len(others), 50_000):
             part = others[at : at + 50_000]
-            memo.update(zip(part, self._raw([lead + c for c in part])))
+            out.update(zip(part, self._raw([lead + c for c in part])))
         for c, body, below in built:
             ids = memo[body]
             if below is None:
-                memo[c] = ids + marks[c[len(body) :]]
+                out[c] = ids + marks[c[len(body) :]]
             else:
                 foot = below.rstrip(_PUNCTUATION)
-                memo[c] = ids + marks[c[len(body) : -len(below) - 1]] + marks["\n"] + plain[foot] + marks[below[len(foot) :]]
+                out[c] = ids + marks[c[len(body) : -len(below) - 1]] + marks["\n"] + plain[foot] + marks[below[len(foot) :]]
+        return out
 
     def _learn_letters(self, letters: set[str], lead: str) -> None:
         memo, whole, step = self.memo[lead], list(letters), self.dtype.itemsize
@@ -137,12 +138,12 @@ class ChunkEncoder:
                 holes = [k for k, v in enumerate(ids) if v is None]
                 unseen.update([chunks[k] for k in holes])
                 work.append((i, chunks[0], ids, holes, [chunks[k] for k in holes]))
-        self._learn({w[1] for w in work if w[1] not in first}, "")
-        self._learn(unseen, " ")
+        heads = self._learn({w[1] for w in work if w[1] not in first}, "")
+        others = self._learn(unseen, " ")
         for i, head, ids, holes, missing in work:
-            ids[0] = first[head]
+            ids[0] = heads[head] if head in heads else first[head]
             for k, c in zip(holes, missing):
-                ids[k] = later[c]
+                ids[k] = others[c] if c in others else later[c]
             out[i] = b"".join(ids)
         return out
 
@@ -159,6 +160,13 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
+def forget() -> bool:
+    """Whether there was anything to forget."""
+    held = bool(_ENCODERS)
+    _ENCODERS.clear()
+    return held
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

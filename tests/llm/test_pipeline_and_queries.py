@@ -70,3 +70,18 @@ def test_pipeline_against_brute_force(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert os.path.isdir(common.shared_dir(spark).removeprefix("file:"))
+
+
+def test_stages_are_cleared(spark):
+    kept = common.stage(spark.range(3).toDF("n"), "probe")
+    assert kept.count() == 3
+    common.clear_stages(spark)
+    assert not os.path.exists(f"{common.shared_dir(spark)}/tabularium".removeprefix("file:"))
+
+
+def test_a_reused_worker_forgets_tokens():
+    from tabularium.llm import tokens
+
+    tokens.encoder(tokens.default_vocabulary()).encode(["a b"])
+    assert list(common.tidy(iter, tokens=True)([1])) == [1] and tokens._ENCODERS
+    assert list(common.tidy(iter)([1])) == [1] and not tokens._ENCODERS
