@@ -29,14 +29,18 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table
+from .common import stage, table, tidy
 from .words import mix, split_words, windows
 
 WINDOW = 50
 PHRASE = 26
 #: Documents in a shard, and words after which it is closed early.
-SHARD_DOCS = 1000
-SHARD_WORDS = 1_500_000
+SHARD_DOCS = 500
+SHARD_WORDS = 1_000_000
+#: Bits of a word's number in one character of the automaton's text.
+DIGIT_BITS = 6
+#: Shares of the segments of one phrase, so that a phrase in very many documents is compared by several tasks.
+SALT = 8
 
 
 def _sliding_min(x: np.ndarray, size: int) -> np.ndarray:
@@ -95,7 +99,7 @@ def _fingerprints(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                 at = pa.array(doc[once])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fp[once].view(np.int64))], ["doc_id", "th", "fp"])
 
-    return docs.filter("doc_id is not null").mapInArrow(find, "doc_id long, th long, fp long")
+    return docs.filter("doc_id is not null").mapInArrow(tidy(find), "doc_id long, th long, fp long")
 
 
 def locate(codes: np.ndarray, cuts: np.ndarray, places: np.ndarray, phrase: int) -> np.ndarray:
@@ -109,18 +113,23 @@ def locate(codes: np.ndarray, cuts: np.ndarray, places: np.ndarray, phrase: int)
     if not len(places):
         return np.zeros(0, np.int64)
     n_docs = len(cuts) - 1
-    # Word k of document d is character k + d, since each document before has one more.
+    # Word k of document d is at k + d: a word that no phrase has stands after each document.
     doc = np.repeat(np.arange(n_docs), np.diff(cuts))
-    text = np.zeros(len(codes) + n_docs, np.uint32)
-    text[np.arange(len(codes)) + doc] = codes + (codes >= 0xD800) * 0x800
-    whole = text.astype("<u4").tobytes().decode("utf-32-le")
+    spaced = np.zeros(len(codes) + n_docs, np.int64)
+    spaced[np.arange(len(codes)) + doc] = codes
+    # A word is a few characters, each place with its own small alphabet: nodes have few
+    # children, which the automaton looks through one by one, and matches keep to words.
+    width = -(-int(codes.max()).bit_length() // DIGIT_BITS)
+    text = np.empty((len(spaced), width), "<u4")
+    for k in range(width):
+        text[:, k] = (spaced >> DIGIT_BITS * k) & ((1 << DIGIT_BITS) - 1) | k << DIGIT_BITS
+    whole = text.tobytes().decode("utf-32-le")
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for p in (places + doc[places]).tolist():
-        automaton.add_word(whole[p : p + phrase], 1)
+    for p in ((places + doc[places]) * width).tolist():
+        automaton.add_word(whole[p : p + phrase * width], 1)
     automaton.make_automaton()
     ends = np.fromiter((end for end, _ in automaton.iter(whole)), np.int64)
-    # Back from characters to words: the document of a character, then its offset.
-    begin = ends - phrase + 1
+    begin = (ends + 1) // width - phrase
     return begin - np.searchsorted(cuts[1:] + np.arange(1, n_docs + 1), begin, "right")
 
 
@@ -181,7 +190,7 @@ def _segments(affected: DataFrame, window: int, phrase: int) -> DataFrame:
                 if hi > lo:
                     yield shard(batch.slice(lo, hi - lo))
 
-    return affected.select("doc_id", "th", "text", "fps").mapInArrow(stream, _SEGMENTS)
+    return affected.select("doc_id", "th", "text", "fps").mapInArrow(tidy(stream), _SEGMENTS)
 
 
 def _removed_windows(segments: DataFrame) -> DataFrame:
@@ -189,7 +198,9 @@ def _removed_windows(segments: DataFrame) -> DataFrame:
     variants = segments.groupBy("fp", "segment").agg(F.min("doc_id").alias("first_doc"), F.first("hashes").alias("hashes"))
     variants = stage(variants, "variants")
     several = variants.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    each = variants.join(several, "fp", "left_semi").select("fp", "segment", "first_doc", F.posexplode("hashes").alias("k", "h"))
+    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    each = variants.withColumn("salt", F.pmod("segment", F.lit(SALT)).cast("int")).join(salted, ["fp", "salt"], "left_semi")
+    each = each.select("fp", "segment", "first_doc", F.posexplode("hashes").alias("k", "h"))
     earliest = each.groupBy("fp", "h").agg(F.min("first_doc").alias("lo"), F.max("first_doc").alias("hi")).filter("lo < hi").select("fp", "h", "lo")
     inside = each.join(earliest, ["fp", "h"]).filter("lo < first_doc").groupBy("fp", "segment").agg(F.collect_set("k").alias("ks"))
     # One join of the many rows with the distinct ones, so that a segment with very many holders can be split.
@@ -248,9 +259,9 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, phrase: int = PHRAS
     affected = stage(keyed.dropDuplicates(["doc_id", "th"]).join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "fps"), "affected")
     spans = _removed_windows(stage(_segments(affected, window, phrase), "segments"))
     columns = ["doc_id", "n_words", "n_removed", *(["kept_text"] if texts else []), "kept_sha256"]
-    changed = affected.select("doc_id", "th", "text").join(spans, ["doc_id", "th"]).mapInArrow(lambda b: _kept(b, window, True), _KEPT)
+    changed = affected.select("doc_id", "th", "text").join(spans, ["doc_id", "th"]).mapInArrow(tidy(lambda b: _kept(b, window, True)), _KEPT)
     changed = stage(changed.select("th", *columns), "changed")
-    same = keyed.mapInArrow(lambda b: _kept(b, window, False), _KEPT).select("th", *columns)
+    same = keyed.mapInArrow(tidy(lambda b: _kept(b, window, False)), _KEPT).select("th", *columns)
     new = changed.select("doc_id", "th", *[F.col(c).alias(f"new_{c}") for c in columns[2:]])
     out = same.join(new, ["doc_id", "th"], "left")
     return out.select("doc_id", "n_words", *[F.coalesce(f"new_{c}", c).alias(c) for c in columns[2:]])
