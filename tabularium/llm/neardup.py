@@ -9,11 +9,13 @@
 3. Prefix merging: two classes that agree on ``MATCHES`` of the lists agree on
    one of the ``s - MATCHES + 1`` rarest of either's ``s`` lists, so only those
    stay.  Frequent lists - a passage that thousands share - drop out first.
-4. Collisions are counted in three rounds.  First every class is held against a
-   few of the smallest classes of its lists; what that confirms collapses groups
-   of near copies.  Then the lists that still hold several components are
-   compared in blocks of ``BLOCK`` classes, whatever their length: once for the
-   best pair of every two components, then for all pairs of different ones.
+4. Collisions are counted in rounds.  First every class is held against a few of
+   the smallest classes of its lists; what that confirms collapses groups of near
+   copies.  Then the lists that still hold several components are compared in
+   blocks of ``BLOCK`` classes, whatever their length: once for each class's best
+   partner in another component, so that components grow by a round of Boruvka's
+   algorithm with rows in proportion to the lists, then for all pairs of
+   different components that are left.
 5. A pair is retained if its signatures agree in ``MATCHES`` posted coordinates
    and in ``AGREE`` of the extra ones, and confirmed on the full shingle sets.
    Both bounds miss a pair at the similarity threshold with probability below
@@ -32,7 +34,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table
+from .common import stage, table, tidy
 from .words import shingles, split_words
 
 SHINGLE = 4
@@ -98,7 +100,7 @@ def document_signatures(docs: DataFrame, size: int) -> DataFrame:
                 keys.append(signature(items, slice(COORDS)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "node", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n_shingles long, node binary, keys binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(sign), "doc_id long, n_shingles long, node binary, keys binary")
 
 
 def _post(classes: DataFrame) -> DataFrame:
@@ -110,7 +112,7 @@ def _post(classes: DataFrame) -> DataFrame:
             coords = np.tile(np.arange(COORDS, dtype=np.int32), batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(batch.column(0)), COORDS)), pa.array(sigs), pa.array(coords)], ["cid", "key", "coord"])
 
-    return classes.select("cid", "keys").mapInArrow(post, "cid long, key long, coord int")
+    return classes.select("cid", "keys").mapInArrow(tidy(post), "cid long, key long, coord int")
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
@@ -161,7 +163,7 @@ def _first_pairs(prefix: DataFrame, profiles: DataFrame) -> DataFrame:
             ok = pa.array(((a == b).sum(axis=1) >= MATCHES) & (_agreeing(x, y) >= AGREE))
             yield pa.RecordBatch.from_arrays([batch.column("cid").filter(ok), batch.column("pivot").filter(ok)], ["a", "b"])
 
-    return both.select("cid", "pivot", "profile", "other").mapInArrow(score, "a long, b long")
+    return both.select("cid", "pivot", "profile", "other").mapInArrow(tidy(score), "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -173,7 +175,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([_digest(x) if len(x) else None for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([profile(x) for x in found], pa.binary())], ["node", "n_shingles", "items", "profile"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    built = texts.select("doc_id", "text").mapInArrow(build, "node binary, n_shingles long, items binary, profile binary")
+    built = texts.select("doc_id", "text").mapInArrow(tidy(build), "node binary, n_shingles long, items binary, profile binary")
     # A repeated doc_id can bring other sets along, or one set twice.
     return wanted.select("cid", "node").join(built, "node").groupBy("cid").agg(F.first("n_shingles").alias("n_shingles"), F.first("items").alias("items"), F.first("profile").alias("profile"))
 
@@ -198,13 +200,13 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(confirm), "a long, b long")
 
 
 def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percent: int, *, best: bool) -> DataFrame:
     """Pairs (a, b) of different components that share a list and agree enough, each formed at the first list they share.
 
-    ``best``: of each two components in a list only the pair that agrees most.
+    ``best``: of each class in a list only the pair that agrees most.
     """
     marked = prefix.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     spread = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", F.expr(f"int(ceil(n / {BLOCK}))").alias("blocks"))
@@ -217,7 +219,7 @@ def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percen
 
     def compare(i, j, coord, own, cid, comp, n, mask, sig, extra):
         left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
-        found = {} if best else []
+        found = []
         # Coordinates before this list's, in which an agreement of two prefixes forms the pair elsewhere.
         earlier = np.int64((1 << int(coord)) - 1)
         bits = (mask[:, None] >> np.arange(int(coord))) & 1 == 1
@@ -236,15 +238,10 @@ def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percen
                 continue
             agree = _agreeing(extra[others], extra[r])
             others, agree = others[agree >= AGREE], agree[agree >= AGREE]
-            for o, c in zip(others.tolist(), agree.tolist()):
-                pair = (min(cid[r], cid[o]), max(cid[r], cid[o]))
-                if best:
-                    between = (min(comp[r], comp[o]), max(comp[r], comp[o]))
-                    if c > found.get(between, (0,))[0]:
-                        found[between] = (c, pair)
-                else:
-                    found.append(pair)
-        return [p for _, p in found.values()] if best else found
+            if best and len(others):
+                others = others[[agree.argmax()]]
+            found += [(min(cid[r], cid[o]), max(cid[r], cid[o])) for o in others.tolist()]
+        return found
 
     def walk(batches):
         held = []
@@ -271,7 +268,7 @@ def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percen
         if held:
             yield close()
 
-    return ready.mapInArrow(walk, "a long, b long").distinct()
+    return ready.mapInArrow(tidy(walk), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
