@@ -16,12 +16,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _DAY = "replace(cast(cast({c} AS date) AS string), '-', '')"
+#: A customer's root, or for some one that no order has: every row stays, and these keys match nothing.
+_KEY = "lpad(cast(CASE WHEN {when} THEN c_custkey + {away} ELSE c_custkey END AS string), 8, '0')"
 RAW = {
     "empresa": (
-        "SELECT lpad(cast(c_custkey AS string), 8, '0') AS cnpj_basico, c_name || CASE WHEN c_custkey % 3 = 0 THEN ' São João & Cia' ELSE ' Straße' END AS razao_social, "
+        "SELECT " + _KEY.format(when="c_custkey % 13 = 5", away=50_000_000) + " AS cnpj_basico, c_name || CASE WHEN c_custkey % 3 = 0 THEN ' São João & Cia' ELSE ' Straße' END AS razao_social, "
         "cast(c_nationkey AS string) AS natureza_juridica, cast(c_custkey % 7 AS string) AS qualificacao_responsavel, "
         "CASE WHEN c_custkey % 11 = 0 THEN 'abc' ELSE replace(cast(cast(c_acctbal AS decimal(12,2)) AS string), '.', ',') END AS capital_social, "
-        "CASE WHEN c_custkey % 2 = 0 THEN '01' ELSE '05' END AS porte_empresa, '' AS ente_federativo_responsavel FROM {customer} WHERE c_custkey % 13 <> 5"
+        "CASE WHEN c_custkey % 2 = 0 THEN '01' ELSE '05' END AS porte_empresa, '' AS ente_federativo_responsavel FROM {customer}"
     ),
     "estabelecimento": (
         "SELECT lpad(cast(o_custkey AS string), 8, '0') AS cnpj_basico, lpad(cast(o_orderkey % 10000 AS string), 4, '0') AS cnpj_ordem, lpad(cast(floor(o_orderkey / 10000) % 100 AS int), 2, '0') AS cnpj_dv, "
@@ -42,11 +44,11 @@ RAW = {
         "SELECT lpad(cast(l_partkey % 900 AS string), 8, '0') AS cnpj_basico, cast(l_linenumber % 3 + 1 AS string) AS identificador_socio, "
         "'  José Supplier ' || cast(l_suppkey AS string) || ' ' AS nome_socio_razao_social, '***' || lpad(cast(l_suppkey AS string), 6, '0') || '**' AS cnpj_cpf_socio, cast(l_linenumber AS string) AS qualificacao_socio, "
         + _DAY.format(c="l_shipdate") + " AS data_entrada_sociedade, cast(l_partkey % 9 AS string) AS pais, CASE WHEN l_quantity < 10 THEN '***' || lpad(cast(l_suppkey % 20 AS string), 6, '0') || '**' ELSE '' END AS representante_legal, "
-        "'Ana Ö ' || cast(l_suppkey % 20 AS string) AS nome_representante_legal, cast(l_linenumber % 4 AS string) AS qualificacao_representante_legal, cast(l_linenumber % 12 AS string) AS faixa_etaria FROM {lineitem} WHERE l_orderkey % 5 = 0"
+        "'Ana Ö ' || cast(l_suppkey % 20 AS string) AS nome_representante_legal, cast(l_linenumber % 4 AS string) AS qualificacao_representante_legal, cast(l_linenumber % 12 AS string) AS faixa_etaria FROM {lineitem}"
     ),
     "simples": (
-        "SELECT lpad(cast(c_custkey AS string), 8, '0') AS cnpj_basico, CASE WHEN c_custkey % 3 = 0 THEN 'S' WHEN c_custkey % 3 = 1 THEN 'N' ELSE '' END AS opcao_simples, '20070701' AS data_opcao_simples, '00000000' AS data_exclusao_simples, "
-        "CASE WHEN c_custkey % 5 = 0 THEN 'S' ELSE 'N' END AS opcao_mei, '' AS data_opcao_mei, '0' AS data_exclusao_mei FROM {customer} WHERE c_custkey % 2 = 0"
+        "SELECT " + _KEY.format(when="c_custkey % 2 <> 0", away=60_000_000) + " AS cnpj_basico, CASE WHEN c_custkey % 3 = 0 THEN 'S' WHEN c_custkey % 3 = 1 THEN 'N' ELSE '' END AS opcao_simples, '20070701' AS data_opcao_simples, '00000000' AS data_exclusao_simples, "
+        "CASE WHEN c_custkey % 5 = 0 THEN 'S' ELSE 'N' END AS opcao_mei, '' AS data_opcao_mei, '0' AS data_exclusao_mei FROM {customer}"
     ),
     "lookup_naturezas": "SELECT cast(n_nationkey AS string) AS codigo, 'Natureza ' || n_name AS descricao FROM {nation} WHERE n_nationkey < 20",
     "lookup_qualificacoes": "SELECT cast(n_nationkey AS string) AS codigo, 'Qualificação ' || n_name AS descricao FROM {nation} WHERE n_nationkey < 6",
