@@ -6,12 +6,13 @@ Pattern and instance - a seed, or any other identifier-like token - form a
 graph that Spark scores in rounds: a pattern's confidence is the share of its
 occurrences in the corpus that a trusted instance follows, an instance's score
 is the noisy-or of the confidences of its patterns.  Instances above
-``TRUSTED`` join the seeds of the next round; at the end every occurrence of a
-trusted instance that no base span covers is an ``id`` span.
+``TRUSTED`` join the seeds of the next round, where they also induce patterns,
+until a round adds none; then every occurrence of a trusted instance that no
+base span covers is an ``id`` span.
 
-A pattern counts only if ``SUPPORT`` different instances stand behind it, and
-its occurrences before ordinary words count against it, so "of the" never
-becomes one, however often it precedes a seed.
+A pattern counts only if ``SUPPORT`` different seeds or trusted instances stand
+behind it, and its occurrences before ordinary words count against it, so "of
+the" never becomes one, however often it precedes a seed.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from .words import split_words
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 TRUSTED = 0.8
-ROUNDS = 3
 #: Digits that make a token identifier-like.
 ID_DIGITS = 6
 
@@ -197,24 +197,32 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def discover(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """(value, score) of trusted instances that are no seeds; ``found``: (value, seed, pattern, words), a row an occurrence."""
+    """(value, score) of trusted instances that are no seeds; ``found``: (value, seed, pattern, words), a row an occurrence.
+
+    Trusted instances only ever add support and confidence, so a round that adds none is the last.
+    """
     edges = found.groupBy("pattern", "value", "seed").agg(F.count("*").alias("n"), F.first("words").alias("words"))
-    strong = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("others"), F.first("words").alias("words"))
-    strong = stage(strong.filter((F.col("seeds") >= SUPPORT) & (F.col("others") > 0)).select("pattern", "words"), "patterns")
-    nothing = edges.sparkSession.createDataFrame([], "value string, score double")
-    if strong.isEmpty():
-        return nothing
-    totals = _totals(texts, strong)
-    edges = stage(edges.join(totals, "pattern").select("pattern", "value", "seed", "n", "total"), "edges")
-    trusted = nothing
-    for _ in range(ROUNDS):
-        known = edges.join(trusted.select("value", "score"), "value", "left")
-        weight = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
-        confidence = known.groupBy("pattern").agg((F.sum(F.col("n") * weight) / F.max("total")).alias("confidence"))
+    able = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.count_if(~F.col("seed")).alias("others"))
+    edges = stage(edges.join(able.filter((F.col("values") >= SUPPORT) & (F.col("others") > 0)).select("pattern"), "pattern", "left_semi"), "edges")
+    trusted, n_trusted, totals = edges.sparkSession.createDataFrame([], "value string, score double"), 0, None
+    while True:
+        known = edges.join(trusted.select("value", F.lit(True).alias("known")), "value", "left").filter("seed or known")
+        supported = known.groupBy("pattern").agg(F.count_distinct("value").alias("support"), F.sum("n").alias("hits"), F.first("words").alias("words"))
+        supported = stage(supported.filter(F.col("support") >= SUPPORT), "patterns")
+        fresh = supported if totals is None else supported.join(totals, "pattern", "left_anti")
+        if not fresh.isEmpty():
+            counted = stage(_totals(texts, fresh), "totals")
+            totals = counted if totals is None else totals.unionByName(counted)
+        if totals is None:
+            return trusted
+        confidence = supported.join(totals, "pattern").select("pattern", (F.col("hits") / F.col("total")).alias("confidence"))
         miss = F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))
         scored = edges.filter("not seed").join(confidence, "pattern").groupBy("value").agg((1 - F.exp(F.sum(miss))).alias("score"))
         trusted = stage(scored.filter(F.col("score") >= TRUSTED), "trusted")
-    return trusted
+        n = trusted.count()
+        if n <= n_trusted:
+            return trusted
+        n_trusted = n
 
 
 def _all_spans(scanned: DataFrame, texts: DataFrame) -> DataFrame:
