@@ -26,7 +26,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import BROADCAST_ROWS, maybe_broadcast, stage, table, tidy
-from .words import split_words
+from .words import split_words, string_buffers
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
@@ -42,7 +42,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9._/-]*[0-9A-Za-z]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Quotes, brackets and their like part context words as white space does; other ASCII punctuation ends one, as in "id=" and "no.".
+_PARTING = "\x20\t\n\x0b\x0c\r\"'`()[]{}<>|*\\"
+_MARKS = "!#$%&,-./:;=?@^~"
+_WORD = re.compile(f"[^{re.escape(_PARTING + _MARKS)}]+[{re.escape(_MARKS)}]*|[{re.escape(_MARKS)}]+")
+_PART_BYTES = np.isin(np.arange(256), list(_PARTING.encode()))
+_MARK_BYTES = np.isin(np.arange(256), list(_MARKS.encode()))
 _NOT_DIGIT = re.compile("[^0-9]")
 
 
@@ -103,18 +108,44 @@ def _lower(word: str) -> str:
     return word.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
-def contexts(text: str, start: int) -> list[list[str]]:
-    """The one and two words, lower-case, that end before ``start``; a part of a word counts as a word."""
-    before = text[max(0, start - 200) : start]
-    words = [_lower(w) for w in _WORD.findall(before)]
-    if start > 200 and words and not before[:1].isspace():
-        words = words[1:]
-    return [words[-n:] for n in (1, 2) if len(words) >= n]
+def context_words(column: pa.Array) -> pa.Array:
+    """``column`` with the words of ``contexts`` parted by blanks, so that ``split_words`` finds just these."""
+    raw, offs = string_buffers(column)
+    raw = np.where(_PART_BYTES[raw], np.uint8(32), raw)
+    part = np.nonzero(_MARK_BYTES[raw[:-1]] & ~_MARK_BYTES[raw[1:]] & (raw[1:] != 32))[0] + 1
+    offs = offs + np.searchsorted(part, offs)
+    raw = np.insert(raw, part, 32)
+    return pa.Array.from_buffers(pa.large_string(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())])
+
+
+def contexts(text: str, start: int) -> tuple[int, list[list[str]]]:
+    """Where the last whole word before ``start`` ends, and the one and two words, lower-case, up to there."""
+    lo = max(0, start - 200)
+    found = list(_WORD.finditer(text, lo, start))
+    if lo:
+        found = found[1:]
+    # A word that goes on at ``start`` is no whole one, and the corpus has no count of its part.
+    if found and found[-1].end() == start and (text[start - 1] not in _MARKS or text[start] in _MARKS):
+        found.pop()
+    words = [_lower(m[0]) for m in found[-2:]]
+    return found[-1].end() if found else -1, [words[-n:] for n in (1, 2) if len(words) >= n]
 
 
 def instances(text: str, spans) -> list[tuple[int, int, str, bool, list[list[str]]]]:
-    """Seeds and identifier-like tokens: start, end, text, whether a seed, contexts."""
-    found = [(a, b, text[a:b], True, contexts(text, a)) for _, a, b in spans]
+    """Seeds and identifier-like tokens: start, end, text, whether a seed, contexts.
+
+    A word is the context of one instance only, so no pattern is followed more often than it occurs.
+    """
+    used = set()
+
+    def before(start):
+        at, patterns = contexts(text, start)
+        if at in used:
+            return []
+        used.add(at)
+        return patterns
+
+    found = [(a, b, text[a:b], True, before(a)) for _, a, b in spans]
     covered = sorted((a, b) for _, a, b in spans)
     if _DIGIT.search(text):
         for m in _TOKEN.finditer(text):
@@ -122,7 +153,7 @@ def instances(text: str, spans) -> list[tuple[int, int, str, bool, list[list[str
             if len(token) >= ID_DIGITS and len(_NOT_DIGIT.sub("", token)) >= ID_DIGITS:
                 a, b = m.span()
                 if not any(x < b and a < y for x, y in covered):
-                    found.append((a, b, token, False, contexts(text, a)))
+                    found.append((a, b, token, False, before(a)))
     return found
 
 
@@ -157,7 +188,7 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     everything = len(listed) > BROADCAST_ROWS
 
     def key(column):
-        w = split_words(column, lower=True)
+        w = split_words(context_words(column), lower=True)
         one = w.hashes
         doc = w.doc_of_word()
         with np.errstate(over="ignore"):

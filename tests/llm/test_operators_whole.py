@@ -1,6 +1,12 @@
 """Cases where an operator once did less than its whole job."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
+
 from tabularium.llm import pii
+from tabularium.llm.words import split_words
 
 
 def spans_of(spark, texts):
@@ -23,3 +29,29 @@ def test_op1_trusted_instances_induce_patterns(spark):
         chain = own
     got = spans_of(spark, [*texts, "the number 98765432 alone"])
     assert all("id:" in s for s in got[40:-1]) and got[-1] == ""
+
+
+def test_op1_glued_keys_quotes_and_brackets(spark):
+    texts = [f'w{i} account: u{i}@mail.example.org and id="v{i}@mail.example.org" bye' for i in range(40)]
+    forms = ["x account: (AB1234567) y", 'x account: "AB1234568" y', "x account:AB1234569 y", "x id=AB1234560 y", "x id='AB1234561' y"]
+    got = spans_of(spark, [*texts, *forms])
+    for text, spans in zip(forms, got[40:]):
+        at = text.index("AB")
+        assert spans == f"id:{at}:{at + 9}"
+
+
+def test_op1_contexts_are_words_that_are_counted():
+    """Both tokenisations agree, and no context occurs less often than instances follow it."""
+    rng = random.Random(4)
+    bits = ["ab", "é", "id=", '"', "(", ")", ": ", " ", "\n", "no.", "+4930123456", "x@y.zz", "1.2.3.4", "AB1234567", "-", ".", "%", "_", "|", "mailto:"]
+    column = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    want = [[pii._lower(w) for w in pii._WORD.findall(t)] for t in column]
+    words = split_words(pii.context_words(pa.array(column)), lower=True)
+    assert np.diff(words.cuts).tolist() == list(map(len, want))
+    for text, own in zip(column, want):
+        followed = {}
+        for *_, patterns in pii.instances(text, pii.base_spans(text)):
+            for p in patterns:
+                followed[tuple(p)] = followed.get(tuple(p), 0) + 1
+        for p, n in followed.items():
+            assert n <= sum(tuple(own[k : k + len(p)]) == p for k in range(len(own)))
