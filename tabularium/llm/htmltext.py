@@ -4,7 +4,8 @@ Pages of one host share a template.  Each page scores its containers: a text
 block counts for its parent in full and for its grandparent by half, less what
 is link text, and furniture (menus, headers, footers, adverts, forms, comments
 ...) counts for nothing.  The best container's path of tags and classes, digits
-generalised, is the page's vote.  Spark counts the votes per host; every page is
+generalised, is the page's vote, after a climb from the best container to the
+outermost article or main, and on while the text stays mostly the same.  Spark counts the votes per host; every page is
 then read again with its host's winning path, or with its own if it has no text
 there.
 """
@@ -29,12 +30,16 @@ _RAW = frozenset("script style title textarea xmp iframe noembed noframes noscri
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _CONTAINERS = frozenset("article main section div body td center blockquote".split())
+#: Parts of a text rather than the whole: their blocks count for the container around them.
+_PARTS = frozenset("section td blockquote".split())
 _FURNITURE = frozenset("nav header footer aside form button select menu dialog template svg head object video audio canvas figcaption fieldset".split())
 _FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs "
     "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe signup share sharing social comment comments disqus respond replies "
     "related recommended footer header masthead topbar login search widget toolbar pagination pager copyright contentinfo complementary search form".split()
 )
+#: Share of a parent's text that makes a container's text mostly the same; of the whole body's, which may add no links either.
+SAME, SAME_BODY = 2 / 3, 0.9
 _NAME = re.compile(r"[\s_-]+")
 #: Open elements that a start tag of the key ends first, up to the nearest of the second set.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -141,7 +146,7 @@ def blocks(page: str) -> list[tuple[str, int, _Element]]:
         suffix, named = _names(m[3])
         out = above.out or tag in _FURNITURE or named and tag not in _TOP
         e = _Element(tag, f"{above.path}>{tag}{suffix}", out, above.link, above.holder, above.holder)
-        if tag in _CONTAINERS:
+        if tag in _CONTAINERS and tag not in _PARTS:
             e.holder = e
         stack.append(e)
     flush()
@@ -149,10 +154,20 @@ def blocks(page: str) -> list[tuple[str, int, _Element]]:
 
 
 def best_path(found) -> str | None:
-    """The path of the container with the highest score; of equals, the first in the page. The page itself, with an empty path, is the outermost."""
+    """The path of the container with the highest score, or of the one around it that the climb ends at; of equals, the first in the page.
+
+    The page itself, with an empty path, is the outermost.
+    """
     scored: dict[int, _Element] = {}
+    weights: dict[int, int] = {}
+    menus: dict[int, int] = {}
     for text, linked, holder in found:
         weight = max(0, len(text) - 2 * linked)
+        e = holder
+        while e is not None:
+            weights[id(e)] = weights.get(id(e), 0) + len(text)
+            menus[id(e)] = menus.get(id(e), 0) + (2 * linked >= len(text))
+            e = e.above
         for share in (1.0, 0.5):
             if holder is None:
                 break
@@ -160,7 +175,19 @@ def best_path(found) -> str | None:
             scored.setdefault(id(holder), holder)
             holder = holder.above
     best = max(scored.values(), key=lambda e: e.score, default=None)
-    return None if best is None else best.path
+    if best is None:
+        return None
+    e = best.above
+    while e is not None:
+        if e.tag in ("article", "main"):
+            best = e
+        e = e.above
+    while best.above is not None and best.tag != "body":
+        around, whole = best.above, best.above.tag in ("body", "")
+        if weights[id(best)] < (SAME_BODY if whole else SAME) * weights[id(around)] or whole and menus[id(best)] < menus[id(around)]:
+            break
+        best = around
+    return best.path
 
 
 def text_at(found, path: str | None) -> str:

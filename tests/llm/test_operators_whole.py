@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from tabularium.llm import pii
+from tabularium.llm import htmltext, pii
 from tabularium.llm.words import split_words
 
 
@@ -55,3 +55,30 @@ def test_op1_contexts_are_words_that_are_counted():
                 followed[tuple(p)] = followed.get(tuple(p), 0) + 1
         for p, n in followed.items():
             assert n <= sum(tuple(own[k : k + len(p)]) == p for k in range(len(own)))
+
+
+# ---- html ----
+
+
+def main_text(page):
+    found = htmltext.blocks(page)
+    return htmltext.text_at(found, htmltext.best_path(found)).split("\n")
+
+
+BODY = "body words " * 40
+
+
+def test_op2_keeps_title_and_lead_around_the_body():
+    side = "<div><a href=/>Home page</a></div><footer><p>us</p></footer>"
+    inner = f"<h1>Title</h1><p>The lead of it.</p><div class=body><p>{BODY}</p><p>{BODY}</p></div>"
+    want = ["Title", "The lead of it.", BODY.strip(), BODY.strip()]
+    for page in (f"<article>{inner}</article>", f"<main><div>{inner}</div></main>", f"<div class=post>{inner}</div>"):
+        assert main_text(f"<html><body>{side}{page}</body></html>") == want
+
+
+def test_op2_parts_of_a_text_are_no_winners():
+    for part in ("blockquote", "section"):
+        page = f"<body><div class=post><h1>Title</h1><p>First short words.</p><{part}><p>{BODY * 5}</p></{part}><{part}><p>Other part.</p></{part}></div></body>"
+        assert main_text(page) == ["Title", "First short words.", (BODY * 5).strip(), "Other part."]
+    page = f"<body><div class=post><p>Before the table.</p><table><tr><td><p>{BODY}</p></td></tr></table></div></body>"
+    assert main_text(page) == ["Before the table.", BODY.strip()]
