@@ -32,52 +32,64 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _CONTAINERS = frozenset("article main section div body td center blockquote".split())
 #: Parts of a text rather than the whole: their blocks count for the container around them.
 _PARTS = frozenset("section td blockquote".split())
-_FURNITURE = frozenset("nav header footer aside form button select menu dialog template svg head object video audio canvas figcaption fieldset".split())
+_FURNITURE = frozenset("nav header footer aside button select menu dialog template svg head object video audio canvas".split())
 _FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs "
     "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe signup share sharing social comment comments disqus respond replies "
     "related recommended footer header masthead topbar login search widget toolbar pagination pager copyright contentinfo complementary search form".split()
 )
+#: With these around, a name of furniture may also be that of a wrapper.
+_QUALIFIERS = frozenset("site page top bottom left right main primary secondary global mobile container wrapper wrap box area list links bar section block inner".split())
+#: Furniture unless they hold most of the page's text.
+_DOUBTFUL = frozenset("form fieldset".split())
 #: Share of a parent's text that makes a container's text mostly the same; of the whole body's, which may add no links either.
 SAME, SAME_BODY = 2 / 3, 0.9
-_NAME = re.compile(r"[\s_-]+")
+_NAME = re.compile(r"[_-]+")
 #: Open elements that a start tag of the key ends first, up to the nearest of the second set.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _TOP = frozenset(("article", "main", "body", "html"))
 
 
 class _Element:
-    __slots__ = ("tag", "path", "out", "link", "holder", "above", "score")
+    __slots__ = ("tag", "path", "out", "link", "holder", "above", "doubts", "score", "weight")
 
-    def __init__(self, tag, path, out, link, holder, above):
-        self.tag, self.path, self.out, self.link, self.holder, self.above, self.score = tag, path, out, link, holder, above, 0.0
+    def __init__(self, tag, path, out, link, holder, above, doubts=()):
+        self.tag, self.path, self.out, self.link, self.holder, self.above, self.doubts, self.score, self.weight = tag, path, out, link, holder, above, doubts, 0.0, 0
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """Generalised classes as path suffix, and whether a name is one of furniture."""
-    classes, furniture = [], False
+def _names(attributes: str) -> tuple[str, bool, bool]:
+    """Generalised classes as path suffix, whether a whole name is one of furniture, and whether one may be."""
+    classes, furniture, doubtful = [], False, False
     if "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
-            value = (m[2] or m[3] or m[4] or "").lower()
+            names = (m[2] or m[3] or m[4] or "").lower().split()
             if m[1].lower() == "class":
-                classes = sorted({_DIGITS.sub("0", c) for c in value.split()})
-            furniture = furniture or not _FURNITURE_NAMES.isdisjoint(_NAME.split(value))
-    return "".join("." + c for c in classes), furniture
+                classes = sorted({_DIGITS.sub("0", c) for c in names})
+            for name in names:
+                words = {w for w in _NAME.split(name) if w}
+                if not _FURNITURE_NAMES.isdisjoint(words):
+                    furniture = furniture or words <= _FURNITURE_NAMES
+                    doubtful = doubtful or words <= _FURNITURE_NAMES | _QUALIFIERS
+    return "".join("." + c for c in classes), furniture, doubtful and not furniture
 
 
-def blocks(page: str) -> list[tuple[str, int, _Element]]:
-    """(text, characters in links, innermost container) of the page's text blocks, furniture left out, in page order."""
+def blocks(page: str, *, names: bool = True) -> list[tuple[str, int, _Element]]:
+    """(text, characters in links, innermost container) of the page's text blocks, furniture left out, in page order.
+
+    If that leaves nothing, names, forms and the like are no reason to leave text out.
+    """
     root = _Element("", "", False, False, None, None)
     root.holder = root
     stack, found = [root], []
     parts: list[tuple[str, bool]] = []
-    holder = root
+    holder, doubts, doubted = root, [], ()
 
     def flush():
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 found.append((text, sum(len(" ".join(p.split())) for p, link in parts if link), holder))
+                doubts.append(doubted)
             parts.clear()
 
     def pop_to(i):
@@ -94,7 +106,7 @@ def blocks(page: str) -> list[tuple[str, int, _Element]]:
         top = stack[-1]
         if stop > at and not top.out:
             if not parts:
-                holder = top.holder
+                holder, doubted = top.holder, top.doubts
             parts.append((html.unescape(page[at:stop]), top.link))
         if not m:
             break
@@ -141,16 +153,33 @@ def blocks(page: str) -> list[tuple[str, int, _Element]]:
             continue
         above = stack[-1]
         if tag in _INLINE:
-            stack.append(_Element(tag, above.path, above.out, above.link or tag == "a", above.holder, None))
+            stack.append(_Element(tag, above.path, above.out, above.link or tag == "a", above.holder, None, above.doubts))
             continue
-        suffix, named = _names(m[3])
-        out = above.out or tag in _FURNITURE or named and tag not in _TOP
-        e = _Element(tag, f"{above.path}>{tag}{suffix}", out, above.link, above.holder, above.holder)
+        suffix, named, doubtful = _names(m[3])
+        if tag in ("article", "main"):
+            out = above.out and named
+        else:
+            out = above.out or tag in _FURNITURE and not (tag == "header" and _inside_text(above.holder)) or names and named and tag not in _TOP
+        e = _Element(tag, f"{above.path}>{tag}{suffix}", out, above.link, above.holder, above.holder, above.doubts)
+        if names and (tag in _DOUBTFUL or doubtful and tag not in _TOP):
+            e.doubts = (*above.doubts, e)
         if tag in _CONTAINERS and tag not in _PARTS:
             e.holder = e
         stack.append(e)
     flush()
-    return found
+    if any(doubts):
+        for (text, _, _), held in zip(found, doubts):
+            for e in held:
+                e.weight += len(text)
+        half = sum(len(text) for text, _, _ in found) / 2
+        found = [f for f, held in zip(found, doubts) if all(e.weight > half for e in held)]
+    return found if found or not names else blocks(page, names=False)
+
+
+def _inside_text(holder: _Element | None) -> bool:
+    while holder is not None and holder.tag not in ("article", "main"):
+        holder = holder.above
+    return holder is not None
 
 
 def best_path(found) -> str | None:

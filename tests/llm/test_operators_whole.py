@@ -82,3 +82,16 @@ def test_op2_parts_of_a_text_are_no_winners():
         assert main_text(page) == ["Title", "First short words.", (BODY * 5).strip(), "Other part."]
     page = f"<body><div class=post><p>Before the table.</p><table><tr><td><p>{BODY}</p></td></tr></table></div></body>"
     assert main_text(page) == ["Before the table.", BODY.strip()]
+
+
+def test_op2_wrappers_with_names_of_furniture_keep_the_text():
+    text = f"<p>{BODY}</p><p>{BODY}</p>"
+    want = [BODY.strip()] * 2
+    for open_, close in (("<div class='content has-sidebar'>", "</div>"), ("<div id=page class=header-fixed>", "</div>"), ("<form>", "</form>"), ("<div class=sidebar><main>", "</main></div>"), ("<div class=search>", "</div>")):
+        assert main_text(f"<body>{open_}{text}{close}<div class=cookie-notice><p>We use cookies.</p></div></body>")[:2] == want
+    assert main_text(f"<body><article><header><h1>Title</h1></header>{text}<figure><figcaption>Caption</figcaption></figure></article></body>") == ["Title", *want, "Caption"]
+
+
+def test_op2_furniture_stays_out():
+    page = f"<body><header><p>Site</p></header><form><p>Mail</p></form><div class=site-footer><p>Imprint</p></div><div id=comments><article class=comment><p>{BODY * 3}</p></article></div><div class=post><p>{BODY}</p></div></body>"
+    assert main_text(page) == [BODY.strip()]
