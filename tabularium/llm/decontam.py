@@ -7,7 +7,8 @@ retrieves every item it scores ``THRESHOLD`` or more of, by block-max WAND;
 passages that lack the rarest terms of every item are passed over beforehand,
 from sums over the whole text: an item's other terms alone cannot reach the
 threshold.  A retrieved item counts as leaked if the passage also holds enough
-of the word shingles of its question and of its answer.
+of the word shingles of its question and of its answer, or of the whole item if
+nothing marks an answer (there its last sentence is tried as one too).
 
 Items are a stated list.  They are taken in slices of ``SLICE`` items, each a
 bounded index that goes to every task, so any number of items works.
@@ -51,28 +52,35 @@ def normal_words(texts: list[str]):
     return split_words(column)
 
 
-def question_and_answer(text: str) -> tuple[str, str]:
-    """Parted at an "answer:" mark, else after the last question mark, else before the last sentence."""
+def marked_answer(text: str) -> tuple[str, str] | None:
+    """Parted at an "answer:" mark, else after the last question mark."""
     m = None
     for m in _MARK.finditer(text):
         pass
     if m and text[: m.start()].strip() and text[m.end() :].strip():
         return text[: m.start()], text[m.end() :]
-    for mark in ("?", "\n", ". "):
-        at = text.rstrip(" .\n").rfind(mark)
-        if at >= 0 and text[at + 1 :].strip(" .\n"):
-            return text[: at + 1], text[at + 1 :]
-    return text, text
+    return _parted(text, "?")
+
+
+def question_and_answer(text: str) -> tuple[str, str]:
+    """As marked, else parted before the last line or sentence."""
+    return marked_answer(text) or _parted(text, "\n") or _parted(text, ". ") or (text, text)
+
+
+def _parted(text: str, mark: str) -> tuple[str, str] | None:
+    at = text.rstrip(" .\n").rfind(mark)
+    return (text[: at + 1], text[at + 1 :]) if at >= 0 and text[at + 1 :].strip(" .\n") else None
 
 
 class Index:
     """Of one slice of (item_id, text); plain arrays and dicts, so it pickles small."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.parts, probes = [], []
+        self.parts, self.whole, probes = [], [], []
         for at, (_, text) in enumerate(items):
             self.parts.append([self._shingles(normal_words([p]).hashes) for p in question_and_answer(text)])
             words = normal_words([text]).hashes
+            self.whole.append(None if marked_answer(text) else [self._shingles(words)] * 2)
             for lo in range(0, max(1, len(words)), PROBE_WORDS):
                 probe = words[lo : lo + PROBE_WORDS]
                 if len(probe) >= SHINGLE or not lo and len(probe):
@@ -181,7 +189,10 @@ class Index:
                 if item in out[i] and out[i][item][0] >= score:
                     continue
                 reach = sum(map(len, self.parts[item])) + 2 * SHINGLE
-                near = self._overlaps(w.hashes[max(lo, a - reach) : min(hi, b + reach)], self.parts[item])
+                around = w.hashes[max(lo, a - reach) : min(hi, b + reach)]
+                near = self._overlaps(around, self.parts[item])
+                if self.whole[item]:
+                    near = max(near, self._overlaps(around, self.whole[item]), key=min)
                 if min(near) >= OVERLAP:
                     out[i][item] = (score, *near)
         return out

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from tabularium.llm import htmltext, pii
+from tabularium.llm import decontam, htmltext, pii
 from tabularium.llm.words import split_words
 
 
@@ -95,3 +95,30 @@ def test_op2_wrappers_with_names_of_furniture_keep_the_text():
 def test_op2_furniture_stays_out():
     page = f"<body><header><p>Site</p></header><form><p>Mail</p></form><div class=site-footer><p>Imprint</p></div><div id=comments><article class=comment><p>{BODY * 3}</p></article></div><div class=post><p>{BODY}</p></div></body>"
     assert main_text(page) == [BODY.strip()]
+
+
+# ---- decontamination ----
+
+
+def test_op9_an_edited_last_sentence_does_not_hide_a_copy():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, f"{text(40)}{part}{text(5)}.") for i, part in enumerate([". ", "\n"] * 10)]
+    index = decontam.Index(items)
+    for k, (_, item) in enumerate(items):
+        edited = item.split(" ")
+        edited[-2] = "changed"
+        for copy in (item, " ".join(edited), item.rsplit(" ", 1)[0]):
+            assert list(index.search([f"{text(50)} {copy} {text(50)}"])[0]) == [k]
+    assert not any(index.search([text(300) for _ in range(20)]))
+
+
+def test_op9_question_and_answer_are_both_needed():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    for mark in ("?", " Answer:"):
+        question = text(60)
+        index = decontam.Index([(0, f"{question}{mark} {text(6)}"), *((i, text(40)) for i in range(1, 9))])
+        assert index.search([f"{text(20)} {question}{mark} {text(6)} {text(20)}"]) == [{}]
