@@ -11,6 +11,8 @@ leaves; bins beyond that are emitted as they are, so every piece is placed.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -18,7 +20,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import stage, table, tidy
-from .tokens import crc_ids, default_vocabulary, encoder
+from .tokens import default_vocabulary, encoder, stretches
 
 CAPACITY = 1024
 GROUP_PIECES = 4096
@@ -28,7 +30,7 @@ CARRY = 64
 NEARLY_FULL = 8
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_BINS = "slot long, bin long, fill int, members array<struct<row:long,length:int>>, done boolean"
+_BINS = "slot long, bin long, fill int, members array<struct<row:long,offset:int>>, done boolean"
 
 
 def cut_pieces(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = 2, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
@@ -36,21 +38,20 @@ def cut_pieces(docs: DataFrame, *, vocabulary: str | None = None, end_id: int =
     vocabulary = vocabulary or default_vocabulary()
 
     def cut(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
-                out = ([], [], [], [], [])
-                enc = encoder(vocabulary)
-                for key, ids in zip(some.column(0).to_pylist(), enc.arrays([t or "" for t in some.column(1).to_pylist()])):
-                    ids = np.append(ids, enc.dtype.type(end_id))
-                    first = len(ids) % capacity or capacity
-                    at, piece = 0, 0
-                    while at < len(ids):
-                        upto = first if not piece else at + capacity
-                        for col, v in zip(out, (key, piece, at, upto - at, crc_ids(ids[at:upto]))):
-                            col.append(v)
-                        at, piece = upto, piece + 1
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for some in stretches(batches, 1):
+            enc = encoder(vocabulary)
+            ids, cuts = enc.encode(some.column(1))
+            raw = memoryview(np.insert(ids, cuts[1:], enc.dtype.type(end_id)).astype("<u4").tobytes())
+            out = ([], [], [], [], [])
+            begin = 0
+            for key, end in zip(some.column(0).to_pylist(), (cuts[1:] + np.arange(1, len(cuts))).tolist()):
+                at, upto, piece = begin, begin + ((end - begin) % capacity or capacity), 0
+                while at < end:
+                    for col, v in zip(out, (key, piece, at - begin, upto - at, zlib.crc32(raw[4 * at : 4 * upto]))):
+                        col.append(v)
+                    at, upto, piece = upto, upto + capacity, piece + 1
+                begin = end
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(tidy(cut, tokens=True), _PIECES)
 
@@ -87,7 +88,11 @@ def best_fit(lengths, capacity: int) -> list[list[int]]:
 def _pack(slot: int, fills: list[int], members: list[list], capacity: int) -> pd.DataFrame:
     bins = []
     for inside in best_fit(fills, capacity):
-        bins.append((sum(fills[i] for i in inside), [m for i in inside for m in members[i]]))
+        placed, at = [], 0
+        for i in inside:
+            placed += [{"row": m["row"], "offset": m["offset"] + at} for m in members[i]]
+            at += fills[i]
+        bins.append((at, placed))
     bins.sort(key=lambda b: b[0])
     rows = [(slot // FAN_IN, slot << 24 | k, fill, inside, k >= CARRY or fill > capacity - NEARLY_FULL) for k, (fill, inside) in enumerate(bins)]
     return pd.DataFrame(rows, columns=["slot", "bin", "fill", "members", "done"])
@@ -102,7 +107,7 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, group_pieces: in
 
     def leaves(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
-        members = [[{"row": r, "length": c}] for r, c in zip(pdf["row"].tolist(), pdf["length"].tolist())]
+        members = [[{"row": r, "offset": 0}] for r in pdf["row"].tolist()]
         return _pack(int(key[0]), pdf["length"].tolist(), members, capacity)
 
     def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -120,9 +125,8 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, group_pieces: in
     for more in found[1:]:
         bins = bins.unionByName(more)
     # A sequence's number: tree level, then group and bin within the level.
-    members = bins.select((F.shiftleft(F.col("level").cast("long"), 56) + F.col("bin")).alias("sequence_id"), F.posexplode("members").alias("at", "m"), "members")
-    offset = F.expr("aggregate(slice(members, 1, at), 0L, (s, x) -> s + x.length)")
-    return members.select("m.row", "sequence_id", offset.alias("offset"))
+    members = bins.select((F.shiftleft(F.col("level").cast("long"), 56) + F.col("bin")).alias("sequence_id"), F.explode("members").alias("m"))
+    return members.select("m.row", "sequence_id", F.col("m.offset").cast("long").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = 2, vocabulary: str | None = None) -> DataFrame:

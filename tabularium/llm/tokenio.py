@@ -1,15 +1,18 @@
 """Token-ID output: an adaptive context-mixing range coder over segments of id blocks.
 
 A *segment* holds whole documents, in order, as one self-contained byte string:
-header, id frequencies (the order-0 prediction), document index, and blocks of
-``BLOCK`` ids.  Every block starts from a reset model and carries the crc32 of
-its ids, so a damaged block is found and costs no other.
+header, id frequencies (the order-0 prediction), document index, blocks of
+``BLOCK`` ids and the header again.  Every block starts from a reset model and
+carries the crc32 of its ids, so a damaged block is found and costs no other,
+and a damaged header costs none.
 
 Inside a block the next id is predicted three ways: by the segment's id
 frequencies (order 0), by the id that last followed the previous id (order 1)
 and by the id that last followed the previous two (order 2).  The three are
-mixed with weights that adapt to how often each was right under the current
-confidences, and the mixture drives one arithmetic-coding step per id.  All
+mixed with weights that adapt, in each block, to how often each was right under
+the current confidences, and the mixture drives one arithmetic-coding step per
+id.  The frequencies themselves are the segment's and do not change within a
+block: cumulative counts of a whole vocabulary can't be kept per lane.  All
 blocks of a segment advance together, one id a step, as numpy lanes: the state
 of the coder is a handful of arrays whose size is the number of blocks.
 """
@@ -26,17 +29,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import maybe_broadcast, stage, tidy
-from .tokens import crc_ids, default_vocabulary, encoder
+from .tokens import crc_ids, default_vocabulary, encoder, stretches
 
 MAGIC = b"TCM1"
-BLOCK = 4096
+BLOCK = 2048
 #: Ids after which a segment is closed at the next document end.
 SEGMENT_IDS = 4_000_000
 _T0 = 18  # log2 of the order-0 total
-_SLOTS1, _SLOTS2 = 1024, 4096
-_LOW = np.int64(1) << np.int64(40)
-_LIMIT = 1 << 10
-_STEP = 24
+_W = 8  # log2 of the sum of the weights
+_TOTAL = _T0 + _W
+_BITS1, _BITS2 = 9, 11  # log2 of the slots of the order-1 and order-2 tables of a block
+#: The coder's state has 48 bits, so that quotients in float64 are exact; 16 of them are written at a time.
+_LOW = np.int64(1) << np.int64(32)
+_MOST = (1 << _W) - 8  # what orders 1 and 2 may weigh together
+_RATE = 4
+_HASH1, _HASH2 = np.uint32(2654435761), np.uint32(2246822519)
 
 
 class CorruptBlock(ValueError):
@@ -64,68 +71,79 @@ def _quantise(counts: np.ndarray) -> np.ndarray:
     raise ValueError("more distinct ids than the order-0 total")
 
 
+_PARTS = 1 / np.maximum(np.arange((1 << _W) + 1), 1)
+
+
+def _less(a, b):
+    return (a - b) >> 31
+
+
+def _equal(a, b):
+    """For numbers from 0 on."""
+    return ((a ^ b) - 1) >> 31
+
+
+def _chosen(a, b, mask):
+    return b ^ ((a ^ b) & mask)
+
+
 class _Model:
-    """Predictions and weights of all lanes; both directions call the same two methods."""
+    """Predictions and weights of all lanes; both directions call the same methods."""
 
     def __init__(self, lanes: int, freq: np.ndarray):
-        self.freq, self.cum = freq, np.concatenate([[0], np.cumsum(freq)[:-1]])
-        self.at1 = np.arange(lanes, dtype=np.int64) * _SLOTS1
-        self.at2 = np.arange(lanes, dtype=np.int64) * _SLOTS2
-        self.atw = np.arange(lanes, dtype=np.int64) * 32
-        self.last1 = np.zeros(lanes * _SLOTS1, np.int32)
-        self.last2 = np.zeros(lanes * _SLOTS2, np.int32)
-        # Three 16-bit weights in one number: order 0, order 1, order 2.
-        start = np.zeros(32, np.int64)
-        for c2 in range(4):
-            for c1 in range(4):
-                for same in range(2):
-                    start[(c2 * 4 + c1) * 2 + same] = 60 | (0 if same else (4 + 30 * c1)) << 16 | (4 + 60 * c2) << 32
-        self.weights = np.tile(start, lanes)
-        self.prev = np.zeros(lanes, np.int64)
-        self.prev2 = np.zeros(lanes, np.int64)
-
-    def predict(self):
-        self.i1 = self.at1 + ((self.prev * 40503 >> 5) & (_SLOTS1 - 1))
-        self.i2 = self.at2 + ((self.prev * 40503 + self.prev2 * 60493 >> 4) & (_SLOTS2 - 1))
-        t1, t2 = self.last1[self.i1].astype(np.int64), self.last2[self.i2].astype(np.int64)
-        self.p1, self.p2 = t1 >> 2, t2 >> 2
-        self.c1, self.c2 = t1 & 3, t2 & 3
-        same = self.p1 == self.p2
-        self.iw = self.atw + ((self.c2 << 3) | (self.c1 << 1) | same)
-        self.w = w = self.weights[self.iw]
-        self.w0 = w & 0xFFFF
-        self.b1 = ((w >> 16) & 0xFFFF) << _T0
-        self.b2 = (w >> 32) << _T0
-        return (self.w0 << _T0) + self.b1 + self.b2
+        self.freq, self.cum = freq.astype(np.int32), np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.int32)
+        self.at1, self.at2, self.atw = (np.arange(lanes, dtype=np.int64) << b for b in (_BITS1, _BITS2, 5))
+        # An entry is an id and, in two bits, how often it was right on end.
+        self.last1 = np.zeros(lanes << _BITS1, np.int32)
+        self.last2 = np.zeros(lanes << _BITS2, np.int32)
+        # Weights of order 1 (low half) and order 2 by both confidences and agreement; order 0 has the rest.
+        c2, c1, same = np.indices((4, 4, 2), dtype=np.int32)
+        self.weights = np.tile(((16 + 32 * c2) << 16 | (8 + 18 * c1) * (1 - same)).ravel().astype(np.int32), lanes)
+        self.mark = np.zeros(lanes, np.uint32)
+        self.before = np.zeros(lanes, np.uint32)
+
+    # Comparisons are made as 32-bit masks, all ones or all zeros, which numpy combines without converting.
+
+    def predict(self) -> None:
+        self.i1 = self.at1 + (self.mark >> np.uint32(32 - _BITS1))
+        self.i2 = self.at2 + ((self.mark ^ self.before * _HASH2) >> np.uint32(32 - _BITS2))
+        self.t1, self.t2 = self.last1.take(self.i1), self.last2.take(self.i2)
+        self.p1, self.p2 = self.t1 >> 2, self.t2 >> 2
+        self.same = _equal(self.p1, self.p2)
+        self.iw = self.atw + ((self.t2 & 3) << 3 | (self.t1 & 3) << 1 | self.same & 1)
+        w = self.weights.take(self.iw)
+        self.w1, self.w2 = w & 0xFFFF, w >> 16
+        self.w0 = (1 << _W) - self.w1 - self.w2
+        self.b1, self.b2 = self.w1 << _T0, self.w2 << _T0
 
     def interval(self, ids):
-        """Start and width of ``ids`` in the mixture, and what was hit."""
-        self.hit1, self.hit2 = ids == self.p1, ids == self.p2
-        low = self.w0 * self.cum[ids] + self.b1 * (self.p1 < ids) + self.b2 * (self.p2 < ids)
-        return low, self.w0 * self.freq[ids] + self.b1 * self.hit1 + self.b2 * self.hit2
+        """Start and width of ``ids`` in the mixture, out of 2**_TOTAL."""
+        self.hit1, self.hit2 = _equal(ids, self.p1), _equal(ids, self.p2)
+        low = self.w0 * self.cum.take(ids) + (self.b1 & _less(self.p1, ids)) + (self.b2 & _less(self.p2, ids))
+        return low.astype(np.int64), (self.w0 * self.freq.take(ids) + (self.b1 & self.hit1) + (self.b2 & self.hit2)).astype(np.int64)
 
     def find(self, at, inverse):
         """The ids whose intervals hold ``at``."""
-        s2 = self.w0 * self.cum[self.p2] + self.b1 * (self.p1 < self.p2)
-        e2 = s2 + self.w0 * self.freq[self.p2] + self.b2 + np.where(self.p1 == self.p2, self.b1, 0)
-        s1 = self.w0 * self.cum[self.p1] + self.b2 * (self.p2 < self.p1)
-        e1 = s1 + self.w0 * self.freq[self.p1] + self.b1 + np.where(self.p1 == self.p2, self.b2, 0)
-        rest = at - self.b2 * (at >= e2) - self.b1 * (at >= e1)
-        ids = inverse[np.clip(rest // self.w0, 0, (1 << _T0) - 1)]
-        ids = np.where((at >= s2) & (at < e2), self.p2, ids)
-        return np.where((at >= s1) & (at < e1), self.p1, ids)
-
-    def update(self, ids):
-        shift = np.where(self.hit2, 32, np.where(self.hit1, 16, 0))
-        w = self.w + (_STEP << shift)
-        full = np.nonzero(((w >> shift) & 0xFFFF) >= _LIMIT)[0]
-        if full.size:
-            half = (w[full] >> 1) & 0x7FFF7FFF7FFF
-            w[full] = half + ((half & 0xFFFF) == 0)
-        self.weights[self.iw] = w
-        self.last1[self.i1] = ids << 2 | np.where(self.hit1, np.minimum(self.c1 + 1, 3), 0)
-        self.last2[self.i2] = ids << 2 | np.where(self.hit2, np.minimum(self.c2 + 1, 3), 0)
-        self.prev2, self.prev = self.prev, ids
+        s2 = self.w0 * self.cum.take(self.p2) + (self.b1 & _less(self.p1, self.p2))
+        e2 = s2 + self.w0 * self.freq.take(self.p2) + self.b2 + (self.b1 & self.same)
+        s1 = self.w0 * self.cum.take(self.p1) + (self.b2 & _less(self.p2, self.p1))
+        e1 = s1 + self.w0 * self.freq.take(self.p1) + self.b1 + (self.b2 & self.same)
+        before1, before2 = _less(at, e1), _less(at, e2)
+        rest = at - (self.b2 & ~before2) - (self.b1 & ~before1)
+        # The half keeps products with a rounded reciprocal on the right side of whole numbers.
+        ids = inverse.take(((rest + 0.5) * _PARTS.take(self.w0)).astype(np.int32), mode="clip")
+        ids = _chosen(self.p2, ids, before2 & ~_less(at, s2))
+        return _chosen(self.p1, ids, before1 & ~_less(at, s1))
+
+    def update(self, ids) -> None:
+        """Weights move towards the highest order that was right; a wrong entry is replaced."""
+        self.w1 += ((self.hit1 & ~self.hit2 & _MOST) - self.w1) >> _RATE
+        self.w2 += ((self.hit2 & _MOST) - self.w2) >> _RATE
+        self.weights[self.iw] = self.w2 << 16 | self.w1
+        new = ids << 2
+        self.last1[self.i1] = _chosen(self.t1 - _less(self.t1 & 3, 3), new, self.hit1)
+        self.last2[self.i2] = _chosen(self.t2 - _less(self.t2 & 3, 3), new, self.hit2)
+        self.before, self.mark = self.mark, ids.view(np.uint32) * _HASH1
 
 
 def _with_carries(words: np.ndarray) -> np.ndarray:
@@ -145,55 +163,52 @@ def encode_blocks(blocks: np.ndarray, freq: np.ndarray) -> list[np.ndarray]:
     lanes, steps = blocks.shape
     model = _Model(lanes, freq)
     low, span = np.zeros(lanes, np.int64), np.full(lanes, _LOW << np.int64(16), np.int64)
-    out = np.zeros((lanes, 2 * steps + 8), np.int32)
-    n = np.zeros(lanes, np.int64)
-    by_step = np.ascontiguousarray(blocks.T.astype(np.int64))
+    row = 2 * steps + 8
+    out = np.zeros(lanes * row, np.int32)
+    at = np.arange(lanes, dtype=np.int64) * row
+    by_step = np.ascontiguousarray(blocks.T.astype(np.int32))
     for k in range(steps):
         ids = by_step[k]
-        unit = span // model.predict()
+        model.predict()
         start, width = model.interval(ids)
+        unit = span >> _TOTAL
         low += unit * start
         span = unit * width
         model.update(ids)
         short = np.nonzero(span < _LOW)[0]
         while short.size:
-            x = low[short]
-            out[short, n[short]] = x >> 40
-            n[short] += 1
+            x, y = low.take(short), span.take(short) << 16
+            to = at.take(short)
+            out[to] = x >> 32
+            at[short] = to + 1
             low[short] = (x & (_LOW - 1)) << 16
-            span[short] <<= 16
-            short = short[span[short] < _LOW]
-    for _ in range(4):
-        out[np.arange(lanes), n] = low >> 40
-        n += 1
+            span[short] = y
+            short = short[y < _LOW]
+    for _ in range(3):
+        out[at] = low >> 32
+        at += 1
         low = (low & (_LOW - 1)) << 16
-    return [_with_carries(out[i, : n[i]].astype(np.int64)) for i in range(lanes)]
+    return [_with_carries(out[i * row : at[i]]) for i in range(lanes)]
 
 
+@np.errstate(all="ignore")  # damaged blocks may run into zero widths
 def decode_blocks(words: list[np.ndarray], steps: int, freq: np.ndarray) -> np.ndarray:
     lanes = len(words)
     model = _Model(lanes, freq)
-    inverse = np.repeat(np.arange(len(freq), dtype=np.int64), freq)
-    longest = max(len(w) for w in words) + 8
-    code_in = np.zeros((lanes, longest), np.int64)
-    for i, w in enumerate(words):
-        code_in[i, : len(w)] = w
-    flat, base = code_in.ravel(), np.arange(lanes, dtype=np.int64) * longest
-    # The first word holds what overflowed 56 bits: the state is 16 + 16 + 16 + 8 bits wide.
+    inverse = np.repeat(np.arange(len(freq), dtype=np.int32), freq)
+    # Lanes end to end; a damaged one may read on into its neighbour or the zeros at the end.
+    flat = np.concatenate([*words, np.zeros(8, "<u2")]).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum([len(w) for w in words])])[:-1].astype(np.int64)
     code = np.zeros(lanes, np.int64)
-    at = base.copy()
     for _ in range(3):
-        code = code << 16 | flat[at]
+        code = code << 16 | flat.take(at, mode="clip")
         at += 1
-    code = (code << 8) | (flat[at] >> 8)
-    left = flat[at] & 0xFF  # the low byte of a word read in part
-    at += 1
     span = np.full(lanes, _LOW << np.int64(16), np.int64)
-    out = np.zeros((steps, lanes), np.int64)
+    out = np.zeros((steps, lanes), np.int32)
     for k in range(steps):
-        total = model.predict()
-        unit = span // total
-        ids = model.find(np.minimum(code // unit, total - 1), inverse)
+        model.predict()
+        unit = span >> _TOTAL
+        ids = model.find(np.minimum(code / unit, (1 << _TOTAL) - 1).astype(np.int32), inverse)
         start, width = model.interval(ids)
         code -= unit * start
         span = unit * width
@@ -201,12 +216,11 @@ def decode_blocks(words: list[np.ndarray], steps: int, freq: np.ndarray) -> np.n
         out[k] = ids
         short = np.nonzero(span < _LOW)[0]
         while short.size:
-            x = flat[np.minimum(at[short], base[short] + longest - 1)]
-            code[short] = code[short] << 16 | left[short] << 8 | x >> 8
-            left[short] = x & 0xFF
-            at[short] += 1
-            span[short] <<= 16
-            short = short[span[short] < _LOW]
+            y, of = span.take(short) << 16, at.take(short)
+            code[short] = code.take(short) << 16 | flat.take(of, mode="clip")
+            at[short] = of + 1
+            span[short] = y
+            short = short[(y < _LOW) & (y > 0)]
     return out.T
 
 
@@ -231,17 +245,27 @@ def pack_segment(doc_ids: list, docs: list[np.ndarray], block: int = BLOCK) -> b
     present = np.nonzero(freq)[0].astype("<u4")
     parts = [zlib.compress(x.tobytes(), 6) for x in (present, freq[present].astype("<u4"), known, keys, lengths, np.array([len(w) for w in words], "<u4"), sums)]
     head = struct.pack("<QIIII", len(ids), steps, n_blocks, len(docs), len(freq)) + struct.pack("<7I", *map(len, parts)) + b"".join(parts)
-    return MAGIC + struct.pack("<II", len(head), zlib.crc32(head)) + head + b"".join(w.tobytes() for w in words)
+    frame = struct.pack("<II", len(head), zlib.crc32(head))
+    return MAGIC + frame + head + b"".join(w.tobytes() for w in words) + head + frame
 
 
-def unpack_segment(blob: bytes, *, check: bool = True) -> tuple[list, list[np.ndarray]]:
-    """Document ids and their id arrays. Raises CorruptBlock if a checksum differs."""
-    if blob[:4] != MAGIC:
-        raise ValueError("not a token segment")
+def _header(blob: bytes) -> bytes:
+    """The header, or its copy at the end if it is damaged: what all blocks need is stored twice."""
     size, crc = struct.unpack_from("<II", blob, 4)
     head = blob[12 : 12 + size]
-    if zlib.crc32(head) != crc:
-        raise ValueError("the segment's header is damaged")
+    if zlib.crc32(head) == crc and blob[:4] == MAGIC:
+        return head
+    size, crc = struct.unpack_from("<II", blob, len(blob) - 8)
+    head = blob[max(0, len(blob) - 8 - size) : -8]
+    if zlib.crc32(head) != crc or len(head) != size:
+        raise ValueError("not a token segment, or both its headers are damaged")
+    return head
+
+
+def unpack_segment(blob: bytes, *, check: bool = True) -> tuple[list, list[np.ndarray]]:
+    """Document ids and their id arrays. Raises CorruptBlock if a checksum differs."""
+    head = _header(blob)
+    size = len(head)
     n, steps, n_blocks, n_docs, vocab = struct.unpack_from("<QIIII", head)
     sizes = struct.unpack_from("<7I", head, 24)
     at, parts = 52, []
@@ -253,8 +277,8 @@ def unpack_segment(blob: bytes, *, check: bool = True) -> tuple[list, list[np.nd
     lengths, n_words, sums = (np.frombuffer(p, "<u4") for p in parts[4:])
     freq = np.zeros(vocab, np.int64)
     freq[present] = f
-    flat = np.frombuffer(blob, "<u2", offset=12 + size)
     cuts = np.concatenate([[0], np.cumsum(n_words, dtype=np.int64)])
+    flat = np.frombuffer(blob, "<u2", int(cuts[-1]), 12 + size)
     if n_blocks:
         ids = decode_blocks([flat[cuts[i] : cuts[i + 1]] for i in range(n_blocks)], steps, freq).ravel()[:n]
         bad = [i for i in range(n_blocks) if crc_ids(ids[i * steps : (i + 1) * steps]) != sums[i]]
@@ -272,19 +296,18 @@ _SEGMENTS = "part int, seq int, in_part long, n_ids long, blob binary"
 def write_tokens(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = 0, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Segments of ``docs`` (doc_id, text) in ascending doc_id order, staged in the shared folder.
 
-    Null text is an empty text; a null doc_id sorts first; repeated doc_ids stay
-    repeated; other columns are ignored.
+    Null text is an empty text; a null doc_id sorts first; rows of one doc_id
+    stay apart, in the order of their texts; other columns are ignored.
     """
     vocabulary = vocabulary or default_vocabulary()
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches):
         from pyspark import TaskContext
 
         enc, part, seq, in_part = encoder(vocabulary), TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], dtype=enc.dtype)
         keys, held, size = [], [], 0
 
         def close():
@@ -294,16 +317,15 @@ def write_tokens(docs: DataFrame, *, vocabulary: str | None = None, end_id: int
             keys, held, size = [], [], 0
             return row
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
-                for key, ids in zip(some.column(0).to_pylist(), enc.arrays([t or "" for t in some.column(1).to_pylist()])):
-                    ids = np.concatenate([ids, end])
-                    keys.append(key)
-                    held.append(ids)
-                    size += len(ids)
-                    if size >= segment_ids:
-                        yield close()
+        for some in stretches(batches, 1):
+            ids, cuts = enc.encode(some.column(1))
+            ids, cuts = np.insert(ids, cuts[1:], enc.dtype.type(end_id)), cuts + np.arange(len(cuts))
+            for key, a, b in zip(some.column(0).to_pylist(), cuts.tolist(), cuts[1:].tolist()):
+                keys.append(key)
+                held.append(ids[a:b])
+                size += b - a
+                if size >= segment_ids:
+                    yield close()
         if keys:
             yield close()
 

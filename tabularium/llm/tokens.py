@@ -1,165 +1,252 @@
-"""Token ids of whole texts, with a per-process memo of space-delimited chunks.
-
-A byte-level BPE vocabulary never merges across its pre-token borders, and a
-single space followed by a visible character always opens a pre-token.  So the
-ids of a text are the concatenated ids of its chunks cut before each such
-space.  Chunks repeat, texts do not: the library encodes every distinct chunk
-once per worker and the rest are look-ups.  Texts with other white-space
-arrangements around spaces go to the library whole.
+"""Token ids of whole texts: pre-tokens found in numpy, each distinct one encoded once.
+
+A byte-level BPE vocabulary never merges across the borders of its pre-tokens,
+so the ids of a text are the concatenated ids of its pre-tokens.  Their borders
+follow from the class of each character (letter, number, white space, other)
+and of the one before, which numpy finds for many texts at once; Arrow reduces
+the pre-tokens to distinct ones, a memo bounded in bytes gives the ids of those
+met before and the library encodes the rest.  Texts with a character whose
+class depends on the Unicode version, or with the text of an added token, go to
+the library whole, and so does everything under any other kind of tokenizer.
 """
 
 from __future__ import annotations
 
 import re
-import string
+import unicodedata
 import zlib
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .words import string_buffers
+
+#: Bytes after which a worker's memo keeps only what the last batch used.
+MEMO_BYTES = 40 << 20
+#: Bytes of text encoded at once; longer texts are cut where a pre-token surely starts.
+BATCH_BYTES = 4 << 20
+_LETTER, _NUMBER, _SPACE, _OTHER, _UNSURE = range(5)
+_SAFE_CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+#: Fixed by the vocabulary format: the printable bytes stand for themselves, the others for characters from 256 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPELLED = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_CONTRACTIONS = ((b"s", 2), (b"t", 2), (b"m", 2), (b"d", 2), (b"re", 3), (b"ve", 3), (b"ll", 3))
+_ENCODERS: dict[str, "BatchEncoder"] = {}
+_classes: np.ndarray | None = None
+
+
+def _class_of(c: str) -> int:
+    now, before = unicodedata.category(c), unicodedata.ucd_3_2_0.category(c)
+    if now != before or now == "Cn":
+        return _UNSURE
+    if now[0] == "Z" or c in "\t\n\x0b\x0c\r\x85":
+        return _SPACE
+    return {"L": _LETTER, "N": _NUMBER}.get(now[0], _OTHER)
 
-#: Entries after which a worker forgets its memo; bounds it to some 180 MB.
-MEMO_ENTRIES = 1_000_000
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-#: ASCII only: none of these is a letter, a number or white space anywhere.
-_PUNCTUATION = string.punctuation
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
 
+def character_classes() -> np.ndarray:
+    """The class of every code point; unsure where Unicode versions differ."""
+    global _classes
+    if _classes is None:
+        _classes = np.full(0x110000, _UNSURE, np.uint8)
+        # Code points beyond the second plane are rare enough to be left to the library.
+        _classes[: 0x20000] = [_UNSURE if 0xD800 <= k < 0xE000 else _class_of(chr(k)) for k in range(0x20000)]
+    return _classes
 
-class _Marks(dict):
-    """Ids of punctuation runs."""
 
-    def __init__(self, owner: "ChunkEncoder"):
-        self.owner = owner
-        self[""] = b""
+def _byte_classes(raw: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte is part of."""
+    table = character_classes()
+    out = table[raw]
+    high = np.nonzero(raw >= 0xC0)[0]
+    if not len(high):
+        return out
+    lead = raw[high].astype(np.int64)
+    more = [raw[np.minimum(high + k, len(raw) - 1)].astype(np.int64) & 0x3F for k in (1, 2, 3)]
+    two = (lead & 0x1F) << 6 | more[0]
+    three = (lead & 0x0F) << 12 | more[0] << 6 | more[1]
+    four = (lead & 0x07) << 18 | more[0] << 12 | more[1] << 6 | more[2]
+    kind = table[np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four))]
+    width = np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))
+    for k in range(4):
+        at = width > k
+        out[high[at] + k] = kind[at]
+    return out
+
+
+def pre_tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pre-tokens start in the texts ``raw[offs[i]:offs[i + 1]]`` laid end to end, and which texts are unsure."""
+    n = len(raw)
+    kind = _byte_classes(raw)
+    first = np.zeros(n + 1, bool)
+    first[offs] = True
+    unsure = np.unique(np.searchsorted(offs, np.nonzero(kind == _UNSURE)[0], "right") - 1)
+    start = first[:n].copy()
+    changed = kind[1:] != kind[:-1]
+    start[1:] |= changed & (raw[:-1] != 32)
+    # The last of several white spaces before a visible character stands apart: it opens the next pre-token or is one.
+    space = kind == _SPACE
+    last = np.nonzero(space[:-1] & ~space[1:] & ~first[1:n])[0]
+    while len(last) and (inside := (raw[last] & 0xC0) == 0x80).any():
+        last = np.where(inside, last - 1, last)
+    start[last] = True
+    # 's, 't, 're ... where an apostrophe opens a pre-token.
+    marks = np.nonzero(start & (raw == 39))[0]
+    marks = marks[marks + 1 < n]
+    marks = marks[~first[marks + 1] & (kind[marks + 1] == _LETTER)]
+    if len(marks):
+        padded = np.concatenate([raw, np.zeros(3, np.uint8)])
+        ends = np.concatenate([first, np.ones(3, bool)])
+        for tail, width in _CONTRACTIONS:
+            hit = marks
+            for k, b in enumerate(tail, 1):
+                hit = hit[(padded[hit + k] == b) & ~ends[hit + k]]
+            start[hit + 1] = False
+            start[hit[hit + width < n] + width] = True
+    return np.nonzero(start)[0], unsure
 
-    def __missing__(self, run: str) -> bytes:
-        ids = self.owner._raw([run])[0]
-        if len(self) < 10_000:
-            self[run] = ids
-        return ids
 
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ``starts[i]`` up to ``starts[i] + sizes[i]``, one run after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
-class ChunkEncoder:
-    """Encodes lists of texts to little-endian unsigned ids, ``width`` bytes each."""
+
+class BatchEncoder:
+    """Encodes string columns to little-endian unsigned ids of ``dtype``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
-        pre = self.tokenizer.pre_tokenizer
+        pre = str(self.tokenizer.pre_tokenizer)
         normal = self.tokenizer.normalizer is None and self.tokenizer.post_processor is None
-        self.by_chunk = normal and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
-        #: Ids of chunks, by the space or nothing that comes before them.
-        self.memo: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-        self.marks = _Marks(self)
-        form_feed = self.tokenizer.encode("\f", add_special_tokens=False).ids
-        self.part = form_feed[0]
-        self.by_chunk = self.by_chunk and len(form_feed) == 1
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
-
-    def _learn(self, chunks: set[str], lead: str) -> dict[str, bytes]:
-        """The ids of ``chunks`` that follow ``lead``; letters are added to the memo, the rest seldom comes back.
-
-        Letters, ASCII punctuation after letters, and a line feed between
-        either and letters are pre-tokens of their own, so chunks made of
-        those are put together from the ids of their letters.  Letters go to
-        the library many to a text, parted by form feeds: between letters a
-        form feed is a pre-token of its own too.
-        """
-        memo, plain, marks = self.memo[lead], self.memo[""], self.marks
-        letters, line_starts, others, built, out = set(), set(), [], [], {}
-        for c in chunks:
-            body = c.rstrip(_PUNCTUATION)
-            if body.isalpha():
-                if len(body) == len(c):
-                    letters.add(c)
-                    continue
-                below = None
-            else:
-                head, feed, below = c.partition("\n")
-                body = head.rstrip(_PUNCTUATION)
-                foot = below.rstrip(_PUNCTUATION)
-                if not (feed and body.isalpha() and foot.isalpha()):
-                    others.append(c)
-                    continue
-                if foot not in plain:
-                    line_starts.add(foot)
-            if body not in memo:
-                letters.add(body)
-            built.append((c, body, below))
-        self._learn_letters(letters, lead)
-        self._learn_letters(line_starts, "")
-        for at in range(0, len(others), 50_000):
-            part = others[at : at + 50_000]
-            out.update(zip(part, self._raw([lead + c for c in part])))
-        for c, body, below in built:
-            ids = memo[body]
-            if below is None:
-                out[c] = ids + marks[c[len(body) :]]
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_part = normal and "ByteLevel(add_prefix_space=False" in pre and "use_regex=True" in pre
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+        self.known_ids, self.known_cuts = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _raw(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, parts: list[bytes]) -> list[list[int]]:
+        """The ids of pre-tokens, straight from the vocabulary's merges: all that comes before them is done."""
+        merge, blank, out = self.tokenizer.model.tokenize, _SPELLED[32], []
+        for p in parts:
+            if p.isalnum():
+                spelled = p.decode("ascii")
+            elif p[:1] == b" " and p[1:].isalnum():
+                spelled = blank + p[1:].decode("ascii")
             else:
-                foot = below.rstrip(_PUNCTUATION)
-                out[c] = ids + marks[c[len(body) : -len(below) - 1]] + marks["\n"] + plain[foot] + marks[below[len(foot) :]]
+                spelled = p.decode("latin-1").translate(_SPELLED)
+            out.append([t.id for t in merge(spelled)])
         return out
 
-    def _learn_letters(self, letters: set[str], lead: str) -> None:
-        memo, whole, step = self.memo[lead], list(letters), self.dtype.itemsize
-        groups = [whole[at : at + 1000] for at in range(0, len(whole), 1000)]
-        texts = [lead + ("\f" + lead).join(g) for g in groups]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids, dtype=self.dtype)
-            cuts = (np.nonzero(ids == self.part)[0] * step).tolist()
-            if len(cuts) != len(group) - 1:
-                memo.update(zip(group, self._raw([lead + c for c in group])))
-                continue
-            raw = ids.tobytes()
-            starts = [0, *(c + step for c in cuts)]
-            memo.update(zip(group, [raw[a:b] for a, b in zip(starts, [*cuts, len(raw)])]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
-            return self._raw(texts)
-        out: list[bytes | None] = [None] * len(texts)
-        odd = [i for i, t in enumerate(texts) if _ODD_SPACE.search(t)]
-        for i, b in zip(odd, self._raw([texts[i] for i in odd]) if odd else ()):
-            out[i] = b
-        for memo in self.memo.values():
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-        first, later = self.memo[""], self.memo[" "]
-        work, unseen = [], set()
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                chunks = t.split(" ")
-                ids = list(map(later.get, chunks))
-                ids[0] = b""
-                holes = [k for k, v in enumerate(ids) if v is None]
-                unseen.update([chunks[k] for k in holes])
-                work.append((i, chunks[0], ids, holes, [chunks[k] for k in holes]))
-        heads = self._learn({w[1] for w in work if w[1] not in first}, "")
-        others = self._learn(unseen, " ")
-        for i, head, ids, holes, missing in work:
-            ids[0] = heads[head] if head in heads else first[head]
-            for k, c in zip(holes, missing):
-                ids[k] = others[c] if c in others else later[c]
-            out[i] = b"".join(ids)
-        return out
+    def _distinct(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids and cuts of distinct pre-tokens, from the memo or the library; the memo learns them."""
+        place = pc.index_in(parts, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.nonzero(place < 0)[0]
+        if len(new):
+            fresh = parts.take(pa.array(new))
+            learned = self._learn(fresh.to_pylist())
+            place[new] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.known_ids = np.concatenate([self.known_ids, np.fromiter(chain.from_iterable(learned), self.dtype)])
+            self.known_cuts = np.concatenate([self.known_cuts, self.known_cuts[-1] + np.cumsum([len(x) for x in learned])])
+        sizes = self.known_cuts[place + 1] - self.known_cuts[place]
+        ids = self.known_ids[_ragged(self.known_cuts[place], sizes)]
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        if self.known.nbytes + self.known_ids.nbytes + self.known_cuts.nbytes > MEMO_BYTES:
+            self.known, self.known_ids, self.known_cuts = parts, ids, cuts
+        return ids, cuts
+
+    def _stretch(self, raw: np.ndarray, offs: np.ndarray, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the texts of a stretch, end to end, and where each text's begin; those marked ``whole`` go to the library."""
+        starts, unsure = pre_tokens(raw, offs)
+        if whole is not None and whole.any():
+            unsure = np.union1d(unsure, np.nonzero(whole)[0])
+        bounds = np.concatenate([starts, [len(raw)]]).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(raw)]).dictionary_encode()
+        ids, cuts = self._distinct(parts.dictionary.cast(pa.large_binary()))
+        index = parts.indices.to_numpy()
+        sizes = (cuts[1:] - cuts[:-1])[index]
+        out = ids[_ragged(cuts[:-1][index], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offs)]
+        if not len(unsure):
+            return out, ends
+        texts = [raw[offs[i] : offs[i + 1]].tobytes().decode() for i in unsure]
+        read = dict(zip(unsure.tolist(), self._raw(texts)))
+        found = [read.get(i, out[ends[i] : ends[i + 1]]) for i in range(len(offs) - 1)]
+        return np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all rows end to end, and the cuts between rows; null rows have none."""
+        raw, offs = string_buffers(column)
+        whole = np.full(len(column), not self.by_part)
+        for token in self.added:
+            whole |= pc.match_substring(column, token).fill_null(False).to_numpy(zero_copy_only=False)
+        found, cuts, lo = [np.zeros(0, self.dtype)], [np.zeros(1, np.int64)], 0
+        while lo < len(offs) - 1:
+            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + BATCH_BYTES, "right")) - 1)
+            part, at = raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+            if not len(part):
+                ids, ends = found[0], np.zeros(len(at), np.int64)
+            elif len(part) > BATCH_BYTES and not whole[lo]:
+                ids, ends = self._long(part)
+            else:
+                ids, ends = self._stretch(part, at, whole[lo:hi])
+            found.append(ids)
+            cuts.append(cuts[-1][-1] + ends[1:])
+            lo = hi
+        return np.concatenate(found), np.concatenate(cuts)
+
+    def _long(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One text that is longer than a stretch: in stretches, if all its characters are sure."""
+        data, bounds = raw.tobytes(), [0]
+        if (_byte_classes(raw) == _UNSURE).any():
+            ids = self._raw([data.decode()])[0]
+            return ids, np.array([0, len(ids)])
+        while len(data) - bounds[-1] > BATCH_BYTES:
+            m = _SAFE_CUT.search(data, bounds[-1] + BATCH_BYTES // 2)
+            if not m:
+                break
+            bounds.append(m.start())
+        bounds.append(len(data))
+        ids = np.concatenate([self._stretch(raw[a:b], np.array([0, b - a]))[0] for a, b in zip(bounds, bounds[1:])])
+        return ids, np.array([0, len(ids)])
 
     def arrays(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b, dtype=self.dtype) for b in self.encode(texts)]
+        ids, cuts = self.encode(pa.array(texts, pa.large_string()))
+        return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> BatchEncoder:
     if path not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = BatchEncoder(path)
     return _ENCODERS[path]
 
 
+def stretches(batches, column: int):
+    """Slices of ``batches`` with some ``BATCH_BYTES`` of text in ``column`` each, one row at least."""
+    for batch in batches:
+        _, offs = string_buffers(batch.column(column))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + BATCH_BYTES, "right")) - 1)
+            hi = min(hi, lo + 20_000)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def forget() -> bool:
     """Whether there was anything to forget."""
     held = bool(_ENCODERS)

@@ -82,6 +82,6 @@ def test_stages_are_cleared(spark):
 def test_a_reused_worker_forgets_tokens():
     from tabularium.llm import tokens
 
-    tokens.encoder(tokens.default_vocabulary()).encode(["a b"])
+    tokens.encoder(tokens.default_vocabulary()).arrays(["a b"])
     assert list(common.tidy(iter, tokens=True)([1])) == [1] and tokens._ENCODERS
     assert list(common.tidy(iter)([1])) == [1] and not tokens._ENCODERS

@@ -61,12 +61,33 @@ def test_coder_compresses_and_finds_damage():
     ids = np.tile(rng.zipf(1.5, 3000) % 50000, 5).astype("<u2")
     blob = bytearray(tokenio.pack_segment([1], [ids], 4096))
     assert len(blob) < len(ids) * 1.6
-    blob[-900] ^= 255
+    size = int.from_bytes(blob[4:8], "little")
+    for at in (20, -20):
+        headless = bytearray(blob)
+        headless[at] ^= 255
+        assert (tokenio.unpack_segment(bytes(headless))[1][0] == ids).all()
+    blob[-size - 908] ^= 255
     with pytest.raises(tokenio.CorruptBlock) as e:
         tokenio.unpack_segment(bytes(blob))
     assert e.value.blocks == [3]
 
 
+def test_stretches_and_long_texts_equal_library(library, monkeypatch):
+    from tabularium.llm import tokens
+
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 50)
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 500)
+    texts = ["plain words of one long text " * 20, "", "unsplit" * 40, "é ü " * 40 + "\U0001F9FF", "we'll it's 'tis rock'n'roll", "a <|endoftext|> b", None]
+    enc = tokens.BatchEncoder(default_vocabulary())
+    assert [g.tolist() for g in enc.arrays(texts * 3)] == [library(t) for t in texts] * 3
+
+
+def test_op7_ties_of_a_doc_id(spark, library):
+    rows = [(4, "bb", "en"), (4, None, "en"), (4, "a a", "en"), (3, "z", "en")]
+    got = tokenio.read_tokens(tokenio.write_tokens(spark.createDataFrame(rows, DOCS))).orderBy("start").collect()
+    assert [r["ids_crc32"] for r in got] == [crc(library(t) + [0]) for t in ("z", None, "a a", "bb")]
+
+
 def test_op7_against_library(spark, library):
     rows = TEXTS + [(None, "null id", "en")]
     docs = spark.createDataFrame(rows, DOCS)
