@@ -1,24 +1,29 @@
 """Personal data: base patterns, then bootstrapped contextual extraction.
 
-The base patterns find e-mail, ip, card and phone spans; these are the seeds.
-The words before seeds induce lexical patterns (the last word, the last two).
-Pattern and instance - a seed, or any other identifier-like token - form a
-graph that Spark scores in rounds: a pattern's confidence is the share of its
-occurrences in the corpus that a trusted instance follows, an instance's score
-is the noisy-or of the confidences of its patterns.  Instances above
-``TRUSTED`` join the seeds of the next round, where they also induce patterns,
-until a round adds none; then every occurrence of a trusted instance that no
-base span covers is an ``id`` span.
+The base patterns find e-mail, ip, card and phone spans; these are seeds, and so
+are key-like values (long, letters and digits mixed) and given identifiers.
+The words before and after seeds induce lexical patterns (the nearest word, the
+nearest two).  Pattern and instance - a seed, or any other token whose shape
+lets it be an identifier - form a graph that Spark scores in rounds: a pattern's
+confidence is the share of its occurrences in the corpus at which a trusted
+instance stands, an instance's score is the noisy-or of the confidences of its
+patterns, times a score of its shape.  Instances above ``TRUSTED`` join the
+seeds of the next round, where they also induce patterns, until a round adds
+none; then every occurrence of a trusted instance that no base span covers is
+an ``id`` span.  So a key-like value counts as evidence at once, but becomes a
+span only behind a pattern.
 
 A pattern counts only if ``SUPPORT`` different seeds or trusted instances stand
-behind it, and its occurrences before ordinary words count against it, so "of
-the" never becomes one, however often it precedes a seed.
+at it, or, where no seed does, ``DISTINCT`` different identifier-like values at
+nearly all of its occurrences.  Its occurrences at ordinary words count against
+it, so "of the" never becomes one, however often it precedes a seed.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +36,10 @@ from .words import split_words, string_buffers
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 TRUSTED = 0.8
-#: Digits that make a token identifier-like.
-ID_DIGITS = 6
+#: Different values that make a pattern without seeds count, if they stand at this share of its occurrences.
+DISTINCT, ALWAYS = 10, 0.9
+#: Patterns below this confidence say nothing about an instance, however many there are.
+TELLING = 0.3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -49,6 +56,8 @@ _WORD = re.compile(f"[^{re.escape(_PARTING + _MARKS)}]+[{re.escape(_MARKS)}]*|[{
 _PART_BYTES = np.isin(np.arange(256), list(_PARTING.encode()))
 _MARK_BYTES = np.isin(np.arange(256), list(_MARKS.encode()))
 _NOT_DIGIT = re.compile("[^0-9]")
+#: What a pattern after its instance starts with; no word holds it.
+AFTER = "\0"
 
 
 def luhn(digits: str) -> bool:
@@ -82,7 +91,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -118,51 +127,75 @@ def context_words(column: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())])
 
 
-def contexts(text: str, start: int) -> tuple[int, list[list[str]]]:
-    """Where the last whole word before ``start`` ends, and the one and two words, lower-case, up to there."""
-    lo = max(0, start - 200)
-    found = list(_WORD.finditer(text, lo, start))
-    if lo:
-        found = found[1:]
-    # A word that goes on at ``start`` is no whole one, and the corpus has no count of its part.
-    if found and found[-1].end() == start and (text[start - 1] not in _MARKS or text[start] in _MARKS):
-        found.pop()
-    words = [_lower(m[0]) for m in found[-2:]]
-    return found[-1].end() if found else -1, [words[-n:] for n in (1, 2) if len(words) >= n]
+def shape(token: str) -> float:
+    """How far the look of a token lets it be an identifier; 0 for ordinary words and short numbers."""
+    digits = len(_NOT_DIGIT.sub("", token))
+    if digits >= 6 or key_like(token):
+        return 1.0
+    if digits >= 4 or digits and len(token) >= 5 and digits < len(token):
+        return 0.95
+    mixed = "_" in token or any(a.islower() and b.isupper() for a, b in zip(token, token[1:]))
+    return 0.85 if mixed and len(token) >= 5 else 0.0
 
 
-def instances(text: str, spans) -> list[tuple[int, int, str, bool, list[list[str]]]]:
-    """Seeds and identifier-like tokens: start, end, text, whether a seed, contexts.
+def key_like(token: str) -> bool:
+    """Long, of many different characters, letters and digits mixed."""
+    digits = len(_NOT_DIGIT.sub("", token))
+    return len(token) >= 20 and digits >= 4 and sum(c.isalpha() for c in token) >= 4 and len(set(token.lower())) >= 9
 
-    A word is the context of one instance only, so no pattern is followed more often than it occurs.
-    """
-    used = set()
 
-    def before(start):
-        at, patterns = contexts(text, start)
-        if at in used:
-            return []
-        used.add(at)
-        return patterns
+def instances(text: str, spans, known: frozenset = frozenset()) -> list[tuple[int, int, str, bool, bool, list[list[str]]]]:
+    """Seeds and identifier-like tokens: start, end, text, whether of a base span, whether a seed, contexts.
 
-    found = [(a, b, text[a:b], True, before(a)) for _, a, b in spans]
-    covered = sorted((a, b) for _, a, b in spans)
-    if _DIGIT.search(text):
-        for m in _TOKEN.finditer(text):
-            token = m[0]
-            if len(token) >= ID_DIGITS and len(_NOT_DIGIT.sub("", token)) >= ID_DIGITS:
-                a, b = m.span()
-                if not any(x < b and a < y for x, y in covered):
-                    found.append((a, b, token, False, before(a)))
-    return found
+    A context is the nearest whole word before, or after, and the nearest two.  A
+    word is the context of one instance on each side only, so no pattern stands
+    at more instances than it occurs.
+    """
+    found = [(a, b, text[a:b], True, True) for _, a, b in spans]
+    covered: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(b, covered[-1][1])
+        else:
+            covered.append([a, b])
+    k = 0
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        token = m[0]
+        given = token in known
+        if not given and not shape(token):
+            continue
+        while k < len(covered) and covered[k][1] <= a:
+            k += 1
+        if k == len(covered) or b <= covered[k][0]:
+            found.append((a, b, token, False, given or key_like(token)))
+    if not found:
+        return []
+    words = [m.span() for m in _WORD.finditer(text)]
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    used, out = set(), []
+    for a, b, value, base, seed in found:
+        patterns = []
+        i = bisect_right(ends, a)
+        if i and i not in used:
+            used.add(i)
+            near = [_lower(text[x:y]) for x, y in words[max(0, i - 2) : i]]
+            patterns += [near[-n:] for n in (1, 2) if len(near) >= n]
+        i = bisect_left(begins, b)
+        if i < len(words) and ~i not in used:
+            used.add(~i)
+            near = [_lower(text[x:y]) for x, y in words[i : i + 2]]
+            patterns += [[AFTER, *near[:n]] for n in (1, 2) if len(near) >= n]
+        out.append((a, b, value, base, seed, patterns))
+    return out
 
 
-_FOUND = "array<struct<start:int,end:int,value:string,seed:boolean,patterns:array<long>,words:array<string>>>"
+_FOUND = "array<struct<start:int,end:int,value:string,shape:double,base:boolean,seed:boolean,patterns:array<long>,words:array<string>>>"
 
 
-def _scan(docs: DataFrame, row_type: str) -> DataFrame:
+def _scan(docs: DataFrame, row_type: str, known: frozenset) -> DataFrame:
     """row (as given), n_* of the base spans, spans, found."""
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("words", pa.list_(pa.string()))]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("shape", pa.float64()), ("base", pa.bool_()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("words", pa.list_(pa.string()))]))
 
     def scan(batches):
         for batch in batches:
@@ -170,7 +203,7 @@ def _scan(docs: DataFrame, row_type: str) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 own = base_spans(text or "")
                 spans.append(own)
-                found.append([{"start": a, "end": b, "value": v, "seed": s, "patterns": [_pattern(w) for w in c], "words": [" ".join(w) for w in c]} for a, b, v, s, c in instances(text or "", own)])
+                found.append([{"start": a, "end": b, "value": v, "shape": shape(v), "base": base, "seed": s, "patterns": [_pattern(w) for w in c], "words": [" ".join(w) for w in c]} for a, b, v, base, s, c in instances(text or "", own, known)])
             counts = [pa.array([sum(s[0] == k for s in own) for own in spans], pa.int64()) for k in KINDS]
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(map(spelled, spans), pa.string()), pa.array(found, kind)], ["row", *(f"n_{k}" for k in KINDS), "base", "found"])
 
@@ -196,6 +229,7 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
         return one, two
 
     def hashed(words: list[str]) -> np.ndarray:
+        words = [w.removeprefix(AFTER + " ") for w in words]
         out = np.zeros(len(words), np.uint64)
         for n, pick in ((1, 0), (2, 1)):
             at = [i for i, w in enumerate(words) if w.count(" ") == n - 1]
@@ -228,27 +262,33 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def discover(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """(value, score) of trusted instances that are no seeds; ``found``: (value, seed, pattern, words), a row an occurrence.
+    """(value, score) of trusted instances; ``found``: (value, shape, base, seed, pattern, words), a row an occurrence and pattern.
 
     Trusted instances only ever add support and confidence, so a round that adds none is the last.
     """
-    edges = found.groupBy("pattern", "value", "seed").agg(F.count("*").alias("n"), F.first("words").alias("words"))
-    able = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.count_if(~F.col("seed")).alias("others"))
-    edges = stage(edges.join(able.filter((F.col("values") >= SUPPORT) & (F.col("others") > 0)).select("pattern"), "pattern", "left_semi"), "edges")
+    edges = found.groupBy("pattern", "value").agg(F.max("shape").alias("shape"), F.min("base").alias("base"), F.max("seed").alias("seed"), F.count("*").alias("n"), F.first("words").alias("words"))
+    able = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.count_if(~F.col("base")).alias("others"))
+    able = able.filter((F.col("values") >= SUPPORT) & (F.col("others") > 0)).select("pattern")
+    edges = stage(edges.join(maybe_broadcast(stage(able, "able")), "pattern", "left_semi"), "edges")
     trusted, n_trusted, totals = edges.sparkSession.createDataFrame([], "value string, score double"), 0, None
     while True:
-        known = edges.join(trusted.select("value", F.lit(True).alias("known")), "value", "left").filter("seed or known")
-        supported = known.groupBy("pattern").agg(F.count_distinct("value").alias("support"), F.sum("n").alias("hits"), F.first("words").alias("words"))
-        supported = stage(supported.filter(F.col("support") >= SUPPORT), "patterns")
-        fresh = supported if totals is None else supported.join(totals, "pattern", "left_anti")
+        marked = edges.join(maybe_broadcast(trusted.select("value", F.lit(True).alias("known"))), "value", "left")
+        mine = F.col("seed") | F.coalesce("known", F.lit(False))
+        backed = marked.groupBy("pattern").agg(
+            F.count_if(mine).alias("support"), F.sum(F.when(mine, F.col("n"))).alias("hits"), F.count_if(F.col("shape") == 1).alias("values"), F.sum(F.when(F.col("shape") == 1, F.col("n"))).alias("shaped"), F.first("words").alias("words")
+        )
+        backed = stage(backed.filter((F.col("support") >= SUPPORT) | (F.col("values") >= DISTINCT)), "patterns")
+        fresh = backed if totals is None else backed.join(totals, "pattern", "left_anti")
         if not fresh.isEmpty():
             counted = stage(_totals(texts, fresh), "totals")
             totals = counted if totals is None else totals.unionByName(counted)
         if totals is None:
             return trusted
-        confidence = supported.join(totals, "pattern").select("pattern", (F.col("hits") / F.col("total")).alias("confidence"))
+        alone = F.when((F.col("values") >= DISTINCT) & (F.col("shaped") >= ALWAYS * F.col("total")), F.col("shaped") / F.col("total"))
+        seeded = F.when(F.col("support") >= SUPPORT, F.col("hits") / F.col("total"))
+        confidence = backed.join(totals, "pattern").select("pattern", F.greatest(seeded, alone).alias("confidence")).filter(F.col("confidence") >= TELLING)
         miss = F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))
-        scored = edges.filter("not seed").join(confidence, "pattern").groupBy("value").agg((1 - F.exp(F.sum(miss))).alias("score"))
+        scored = edges.filter("not base").join(maybe_broadcast(stage(confidence, "confidence")), "pattern").groupBy("value").agg(((1 - F.exp(F.sum(miss))) * F.max("shape")).alias("score"))
         trusted = stage(scored.filter(F.col("score") >= TRUSTED), "trusted")
         n = trusted.count()
         if n <= n_trusted:
@@ -259,36 +299,37 @@ def discover(found: DataFrame, texts: DataFrame) -> DataFrame:
 def _all_spans(scanned: DataFrame, texts: DataFrame) -> DataFrame:
     """rid, ids: the discovered spans of documents that have any."""
     one = scanned.select("rid", F.explode("found").alias("f")).select("rid", "f.*")
-    occurrences = one.select("value", "seed", F.explode(F.arrays_zip("patterns", "words")).alias("p")).select("value", "seed", F.col("p.patterns").alias("pattern"), F.col("p.words").alias("words"))
+    occurrences = one.select("value", "shape", "base", "seed", F.explode(F.arrays_zip("patterns", "words")).alias("p"))
+    occurrences = occurrences.select("value", "shape", "base", "seed", F.col("p.patterns").alias("pattern"), F.col("p.words").alias("words"))
     values = discover(occurrences, texts)
-    spans = one.filter("not seed").join(values.select("value"), "value", "left_semi")
+    spans = one.filter("not base").join(maybe_broadcast(values.select("value")), "value", "left_semi")
     return spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ids"))
 
 
-def _finished(docs: DataFrame) -> DataFrame:
+def _finished(docs: DataFrame, known=()) -> DataFrame:
     """row, n_* and spans of every row of ``docs`` (row, text)."""
     kind = docs.schema["row"].dataType.simpleString()
-    scanned = stage(_scan(docs, kind).withColumn("rid", F.monotonically_increasing_id()), "scanned")
+    scanned = stage(_scan(docs, kind, frozenset(known)).withColumn("rid", F.monotonically_increasing_id()), "scanned")
     ids = maybe_broadcast(_all_spans(scanned, docs.select(F.coalesce("text", F.lit("")).alias("text"))))
     more = F.array_join(F.transform("ids", lambda s: F.concat(F.lit("id:"), s["start"], F.lit(":"), s["end"])), ",")
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), more)
     return scanned.join(ids, "rid", "left").select("row", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), spans.alias("spans"))
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, *, known=()) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (of the base spans), base_sha256, spans of every row.
 
-    Null text is empty. ``spans`` has the base spans by kind, then the
+    ``known``: given identifiers, a stated list; they are seeds too.  Null text is empty. ``spans`` has the base spans by kind, then the
     discovered ones as kind ``id``. Repeated rows are found alike.
     """
-    out = _finished(docs.select(F.col("doc_id").cast("long").alias("row"), "text"))
+    out = _finished(docs.select(F.col("doc_id").cast("long").alias("row"), "text"), known)
     return out.withColumnRenamed("row", "doc_id")
 
 
-def mask_personal_data(docs: DataFrame) -> DataFrame:
+def mask_personal_data(docs: DataFrame, *, known=()) -> DataFrame:
     """``docs`` with every span replaced by ``<kind>``; overlapping spans become one, named by the first; n_chars follows."""
     columns = docs.columns
-    found = _finished(docs.select(F.struct(*columns).alias("row"), "text"))
+    found = _finished(docs.select(F.struct(*columns).alias("row"), "text"), known)
 
     def mask(batches):
         for batch in batches:

@@ -54,9 +54,95 @@ def test_op1_contexts_are_words_that_are_counted():
             for p in patterns:
                 followed[tuple(p)] = followed.get(tuple(p), 0) + 1
         for p, n in followed.items():
+            p = p[1:] if p[0] == pii.AFTER else p
             assert n <= sum(tuple(own[k : k + len(p)]) == p for k in range(len(own)))
 
 
+def brute_ids(texts):
+    """The pattern-instance graph in plain dictionaries: values trusted in the end."""
+    edges, seeds, shapes, base = {}, set(), {}, set()
+    for t in texts:
+        for _, _, v, is_base, seed, patterns in pii.instances(t, pii.base_spans(t)):
+            shapes[v] = pii.shape(v)
+            seeds |= {v} if seed else set()
+            base |= {v} if is_base else set()
+            for p in map(tuple, patterns):
+                edges.setdefault(p, {}).setdefault(v, 0)
+                edges[p][v] += 1
+    words = [[pii._lower(w) for w in pii._WORD.findall(t)] for t in texts]
+    total = lambda p: sum(tuple(w[k : k + len(p)]) == p for w in words for k in range(len(w)))
+    trusted, totals = set(), {}
+    while True:
+        score = {}
+        for p, values in edges.items():
+            if len(values) < 3 or all(v in base for v in values):
+                continue
+            ours = [v for v in values if v in seeds or v in trusted]
+            shaped = [v for v in values if shapes[v] == 1]
+            if len(ours) < 3 and len(shaped) < 10:
+                continue
+            n = totals.setdefault(p, total(p[1:] if p[0] == pii.AFTER else p))
+            alone = sum(values[v] for v in shaped) / n
+            c = max(sum(values[v] for v in ours) / n if len(ours) >= 3 else 0, alone if len(shaped) >= 10 and alone >= 0.9 else 0)
+            for v in values if c >= 0.3 else ():
+                if v not in base:
+                    score[v] = 1 - (1 - score.get(v, 0.0)) * max(1e-9, 1 - c)
+        now = {v for v, x in score.items() if x * shapes[v] >= 0.8}
+        if len(now) <= len(trusted):
+            return now
+        trusted = now
+
+
+def planted(rng):
+    """Texts with identifiers of unseen form behind labels, the spans of these, and decoys."""
+    word = lambda: "".join(rng.choice("abcdehinorst") for _ in range(rng.randint(2, 9)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    forms = {
+        "member account: %s,": lambda: rng.choice([f"u{rng.randint(0, 9999)}@mail.example.org", f"AB{rng.randint(10**6, 10**7)}"]),
+        'token = "%s"': lambda: "a1b2" + hexa(36),
+        "reachable as %s now": lambda: rng.choice([f"+49 30 {rng.randint(10**5, 10**6)}", f"max_{word()}{rng.randint(0, 99)}"]),
+        "<serial>%s</serial>": lambda: f"{rng.randint(10**7, 10**8)}",
+    }
+    texts, spans = [], []
+    for k in range(400):
+        form = rng.choice(list(forms))
+        value = forms[form]()
+        head = some(rng.randint(0, 60)) + " " + form[: form.index("%")]
+        texts.append(head + value + form[form.index("%") + 2 :] + " " + some(rng.randint(0, 60)))
+        spans.append((len(head), len(head) + len(value)))
+    texts += [f"{some(20)} {rng.choice([hexa(40), str(rng.randint(10**6, 10**8)), 'camelCase', some(1)])} {some(20)}" for _ in range(200)]
+    return texts, spans
+
+
+def test_op1_against_an_independent_scorer_and_planted_identifiers(spark):
+    texts, planted_spans = planted(random.Random(8))
+    want = brute_ids(texts)
+    got = spans_of(spark, texts)
+    for text, spans in zip(texts, got):
+        ids = [f"id:{a}:{b}" for a, b, v, base, _, _ in pii.instances(text, pii.base_spans(text)) if not base and v in want]
+        assert [s for s in spans.split(",") if s.startswith("id:")] == ids
+    unseen = [(s, f"id:{a}:{b}") for s, t, (a, b) in zip(got, texts, planted_spans) if not pii.base_spans(t)]
+    found = sum(span in s.split(",") for s, span in unseen)
+    assert len(unseen) > 200 and found >= 0.9 * len(unseen)
+    assert sum("id:" in s for s in got[400:]) <= 2
+
+
+def test_op1_given_identifiers_are_seeds(spark):
+    texts = [f"x code name {v} y" for v in ("Red_Fox", "Blue_Owl", "Old_Crow", "New_Swan")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r["spans"] == "" for r in pii.find_personal_data(docs).collect())
+    found = pii.find_personal_data(docs, known=["Red_Fox", "Blue_Owl", "Old_Crow"]).collect()
+    assert all(r["spans"].startswith("id:12:") for r in found)
+
+
+def test_op1_long_contexts_and_long_numbers(spark):
+    far = "z" * 5000
+    texts = [f"w{i} member {far}: u{i}@mail.example.org bye" for i in range(6)]
+    got = spans_of(spark, [*texts, f"x member {far}: AB1234567 y", "0" * 5000 + ".1.1.1", "1.2.3." + "0" * 6000 + "255"])
+    assert got[6].startswith("id:") and got[7] == "ip:0:5006" and got[8] == "ip:0:6009"
+
+
 # ---- html ----
 
 
