@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import string_buffers
+from .words import ragged, string_buffers
 
 #: Bytes after which a worker's memo keeps only what the last batch used.
 MEMO_BYTES = 40 << 20
@@ -108,12 +108,6 @@ def pre_tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.nonzero(start)[0], unsure
 
 
-def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of ``starts[i]`` up to ``starts[i] + sizes[i]``, one run after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 class BatchEncoder:
     """Encodes string columns to little-endian unsigned ids of ``dtype``."""
 
@@ -160,7 +154,7 @@ class BatchEncoder:
             self.known_ids = np.concatenate([self.known_ids, np.fromiter(chain.from_iterable(learned), self.dtype)])
             self.known_cuts = np.concatenate([self.known_cuts, self.known_cuts[-1] + np.cumsum([len(x) for x in learned])])
         sizes = self.known_cuts[place + 1] - self.known_cuts[place]
-        ids = self.known_ids[_ragged(self.known_cuts[place], sizes)]
+        ids = self.known_ids[ragged(self.known_cuts[place], sizes)]
         cuts = np.concatenate([[0], np.cumsum(sizes)])
         if self.known.nbytes + self.known_ids.nbytes + self.known_cuts.nbytes > MEMO_BYTES:
             self.known, self.known_ids, self.known_cuts = parts, ids, cuts
@@ -176,7 +170,7 @@ class BatchEncoder:
         ids, cuts = self._distinct(parts.dictionary.cast(pa.large_binary()))
         index = parts.indices.to_numpy()
         sizes = (cuts[1:] - cuts[:-1])[index]
-        out = ids[_ragged(cuts[:-1][index], sizes)]
+        out = ids[ragged(cuts[:-1][index], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offs)]
         if not len(unsure):
             return out, ends

@@ -70,6 +70,12 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ``starts[i]`` up to ``starts[i] + sizes[i]``, one run after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def split_words(column: pa.Array, *, lower: bool = False) -> Words:
     raw, offs = string_buffers(column)
     data = _LOWER[raw] if lower else raw

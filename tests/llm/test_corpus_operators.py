@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,6 +89,35 @@ def test_op4_small_shards(spark, docs, monkeypatch):
     assert got == brute_repeats(docs, 12)
 
 
+def test_locate_finds_every_occurrence_and_nothing_else():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        codes = rng.integers(1, int(rng.choice([3, 200, 70000])), 300)
+        cuts = np.array([0, 0, 90, 170, 300])
+        size = int(rng.integers(1, 5))
+        phrases = np.unique(np.concatenate([np.array([codes[p : p + size] for p in rng.integers(0, 290, 8)]), rng.integers(1, 9, (3, size))]), axis=0)
+        want = [(p, k) for d in range(4) for p in range(cuts[d], cuts[d + 1] - size + 1) for k, f in enumerate(phrases) if (codes[p : p + size] == f).all()]
+        assert sorted(zip(*map(np.ndarray.tolist, substring.locate(codes, cuts, phrases)))) == want
+
+
+def test_op4_occurrences_come_from_the_automaton(monkeypatch):
+    import pyarrow as pa
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = pa.table({"doc_id": [1, 2], "th": [1, 2], "text": [f"a b {passage} c", f"d {passage} e f"]})
+    known = pa.table({"fp": [7, 8], "words": [" ".join(passage.split()[k : k + 4]) for k in (10, 40)]})
+    whole = substring.shard_segments(docs, known, 10, 4).to_pylist()
+    assert {r["fp"] for r in whole} <= {7, 8} and len({r["doc_id"] for r in whole}) in (0, 2)
+    every = pa.table({"fp": list(range(57)), "words": [" ".join(passage.split()[k : k + 4]) for k in range(57)]})
+    found = substring.shard_segments(docs, every, 10, 4).to_pylist()
+    by_doc = [[(r["fp"], len(r["hashes"])) for r in found if r["doc_id"] == d] for d in (1, 2)]
+    # All windows inside the passage, by the same phrases in both documents, beside some at its edges.
+    inner = [[x for x in b if 10 < x[0] < 46] for b in by_doc]
+    assert inner[0] == inner[1] and sum(n for _, n in inner[0]) > 25
+    monkeypatch.setattr(substring, "locate", lambda codes, cuts, phrases: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert substring.shard_segments(docs, every, 10, 4).num_rows == 0
+
+
 # ---- near duplicates ----
 
 
