@@ -38,6 +38,10 @@ _FURNITURE_NAMES = frozenset(
     "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe signup share sharing social comment comments disqus respond replies "
     "related recommended footer header masthead topbar login search widget toolbar pagination pager copyright contentinfo complementary search form".split()
 )
+_COMMENT_NAMES = frozenset("comment comments disqus respond replies".split())
+#: Inside an article or main these are furniture only with controls or mostly links in them.
+_WEAK_NAMES = frozenset("form search share sharing social related recommended widget".split())
+_CONTROLS = frozenset("input button select textarea".split())
 #: With these around, a name of furniture may also be that of a wrapper.
 _QUALIFIERS = frozenset("site page top bottom left right main primary secondary global mobile container wrapper wrap box area list links bar section block inner".split())
 #: Furniture unless they hold most of the page's text.
@@ -51,52 +55,105 @@ _TOP = frozenset(("article", "main", "body", "html"))
 
 
 class _Element:
-    __slots__ = ("tag", "path", "out", "link", "holder", "above", "doubts", "score", "weight")
+    """An open element; ``path`` is its number in the page's ``_Paths``, so nesting costs no text."""
 
-    def __init__(self, tag, path, out, link, holder, above, doubts=()):
-        self.tag, self.path, self.out, self.link, self.holder, self.above, self.doubts, self.score, self.weight = tag, path, out, link, holder, above, doubts, 0.0, 0
+    __slots__ = ("tag", "path", "out", "link", "holder", "above", "doubt", "outer", "inside", "weak", "near_p", "score", "weight", "linked", "menus", "controls")
 
+    def __init__(self, tag, path, out, link, holder, above, doubt=None):
+        self.tag, self.path, self.out, self.link, self.holder, self.above, self.doubt = tag, path, out, link, holder, above, doubt
+        self.outer, self.inside = None, False
+        self.weak, self.near_p, self.score, self.weight, self.linked, self.menus, self.controls = False, -1, 0.0, 0, 0, 0, False
 
-def _names(attributes: str) -> tuple[str, bool, bool]:
-    """Generalised classes as path suffix, whether a whole name is one of furniture, and whether one may be."""
-    classes, furniture, doubtful = [], False, False
+
+class _Paths:
+    """Numbers of tag-class paths: a path is its parent's number and its own label."""
+
+    def __init__(self):
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.steps: list[tuple[int, str]] = [(-1, "")]
+
+    def number(self, parent: int, label: str) -> int:
+        found = self.numbers.get((parent, label))
+        if found is None:
+            found = self.numbers[parent, label] = len(self.steps)
+            self.steps.append((parent, label))
+        return found
+
+    def spelled(self, number: int) -> str:
+        labels = []
+        while number > 0:
+            number, label = self.steps[number]
+            labels.append(">" + label)
+        return "".join(reversed(labels))
+
+    def find(self, path: str) -> int | None:
+        number = 0
+        for label in path.split(">")[1:]:
+            number = self.numbers.get((number, label))
+            if number is None:
+                return None
+        return number
+
+
+class Blocks(list):
+    """(text, characters in links, innermost container) in page order, with the page's paths and containers."""
+
+    def __init__(self, rows, paths: _Paths, holders: list):
+        super().__init__(rows)
+        self.paths, self.holders = paths, holders
+
+
+def _names(attributes: str) -> tuple[str, bool, bool, bool, bool]:
+    """Generalised classes as path suffix; whether a whole name is one of furniture, may be one, is one of a kind that articles use too, is one of comments."""
+    classes, furniture, doubtful, weak, comment = [], False, False, False, False
     if "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             names = (m[2] or m[3] or m[4] or "").lower().split()
             if m[1].lower() == "class":
-                classes = sorted({_DIGITS.sub("0", c) for c in names})
+                classes = sorted({_DIGITS.sub("0", c).replace(">", "") for c in names})
             for name in names:
                 words = {w for w in _NAME.split(name) if w}
                 if not _FURNITURE_NAMES.isdisjoint(words):
-                    furniture = furniture or words <= _FURNITURE_NAMES
+                    weak = weak or words <= _WEAK_NAMES
+                    furniture = furniture or words <= _FURNITURE_NAMES and not words <= _WEAK_NAMES
+                    comment = comment or words <= _COMMENT_NAMES
                     doubtful = doubtful or words <= _FURNITURE_NAMES | _QUALIFIERS
-    return "".join("." + c for c in classes), furniture, doubtful and not furniture
+    return "".join("." + c for c in classes), furniture, doubtful and not furniture and not weak, weak and not furniture, comment
 
 
-def blocks(page: str, *, names: bool = True) -> list[tuple[str, int, _Element]]:
-    """(text, characters in links, innermost container) of the page's text blocks, furniture left out, in page order.
+def blocks(page: str, *, names: bool = True) -> Blocks:
+    """The page's text blocks, furniture left out.
 
     If that leaves nothing, names, forms and the like are no reason to leave text out.
     """
-    root = _Element("", "", False, False, None, None)
+    paths = _Paths()
+    root = _Element("", 0, False, False, None, None)
     root.holder = root
     stack, found = [root], []
+    open_tags: dict[str, int] = {}
+    holders, doubted, marks = [root], [], []
     parts: list[tuple[str, bool]] = []
-    holder, doubts, doubted = root, [], ()
+    holder, doubt = root, None
 
     def flush():
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 found.append((text, sum(len(" ".join(p.split())) for p, link in parts if link), holder))
-                doubts.append(doubted)
+                marks.append(doubt)
             parts.clear()
 
+    def push(e):
+        stack.append(e)
+        open_tags[e.tag] = open_tags.get(e.tag, 0) + 1
+
     def pop_to(i):
         for e in stack[i:]:
             if e.tag not in _INLINE:
                 flush()
                 break
+        for e in stack[i:]:
+            open_tags[e.tag] -= 1
         del stack[i:]
 
     at, end = 0, len(page)
@@ -106,7 +163,7 @@ def blocks(page: str, *, names: bool = True) -> list[tuple[str, int, _Element]]:
         top = stack[-1]
         if stop > at and not top.out:
             if not parts:
-                holder, doubted = top.holder, top.doubts
+                holder, doubt = top.holder, top.doubt
             parts.append((html.unescape(page[at:stop]), top.link))
         if not m:
             break
@@ -115,13 +172,15 @@ def blocks(page: str, *, names: bool = True) -> list[tuple[str, int, _Element]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags.get(tag) else ():
                 if stack[i].tag == tag:
                     pop_to(i)
                     break
                 if stack[i].tag in _TOP and tag in ("p", "li", "a", "b", "i", "em", "strong", "span"):
                     break
             continue
+        if tag in _CONTROLS and top.doubt is not None:
+            top.doubt.controls = True
         if tag in _RAW:
             if tag != "title" and tag not in _INLINE:
                 flush()
@@ -136,76 +195,80 @@ def blocks(page: str, *, names: bool = True) -> list[tuple[str, int, _Element]]:
             flush()
             if tag in _ENDS:
                 ended, within = _ENDS[tag]
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, 0, -1) if any(map(open_tags.get, ended)) else ():
                     if stack[i].tag in within:
                         break
                     if stack[i].tag in ended:
                         pop_to(i)
                         break
-            else:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "p":
-                        pop_to(i)
-                        break
-                    if stack[i].tag not in _INLINE:
-                        break
+            elif top.near_p >= 0:
+                pop_to(top.near_p)
         if tag in _VOID or m[3].endswith("/") and tag not in _CONTAINERS and tag not in ("p", "a"):
             continue
         above = stack[-1]
         if tag in _INLINE:
-            stack.append(_Element(tag, above.path, above.out, above.link or tag == "a", above.holder, None, above.doubts))
+            e = _Element(tag, above.path, above.out, above.link or tag == "a", above.holder, None, above.doubt)
+            e.near_p, e.inside = above.near_p, above.inside
+            push(e)
             continue
-        suffix, named, doubtful = _names(m[3])
+        suffix, named, doubtful, weak, comment = _names(m[3])
+        inside = above.inside
         if tag in ("article", "main"):
-            out = above.out and named
+            out, doubtful = above.out and (named or weak or doubtful) or comment, doubtful or named or weak
         else:
-            out = above.out or tag in _FURNITURE and not (tag == "header" and _inside_text(above.holder)) or names and named and tag not in _TOP
-        e = _Element(tag, f"{above.path}>{tag}{suffix}", out, above.link, above.holder, above.holder, above.doubts)
-        if names and (tag in _DOUBTFUL or doubtful and tag not in _TOP):
-            e.doubts = (*above.doubts, e)
+            weak_out = weak and not inside
+            out = above.out or tag in _FURNITURE and not (tag == "header" and inside) or names and (named or weak_out) and tag not in _TOP
+            doubtful = doubtful and tag not in _TOP
+        e = _Element(tag, paths.number(above.path, tag + suffix), out, above.link, above.holder, above.holder, above.doubt)
+        e.near_p, e.inside = len(stack) if tag == "p" else -1, inside or tag in ("article", "main")
+        if names and not out and (tag in _DOUBTFUL or doubtful or weak and inside):
+            e.weak = weak and inside and tag not in _DOUBTFUL and not doubtful
+            e.outer, e.doubt = above.doubt, e
+            doubted.append(e)
         if tag in _CONTAINERS and tag not in _PARTS:
             e.holder = e
-        stack.append(e)
+            holders.append(e)
+        push(e)
     flush()
-    if any(doubts):
-        for (text, _, _), held in zip(found, doubts):
-            for e in held:
-                e.weight += len(text)
-        half = sum(len(text) for text, _, _ in found) / 2
-        found = [f for f, held in zip(found, doubts) if all(e.weight > half for e in held)]
-    return found if found or not names else blocks(page, names=False)
-
-
-def _inside_text(holder: _Element | None) -> bool:
-    while holder is not None and holder.tag not in ("article", "main"):
-        holder = holder.above
-    return holder is not None
-
-
-def best_path(found) -> str | None:
+    if doubted:
+        for (text, linked, _), mark in zip(found, marks):
+            if mark is not None:
+                mark.weight += len(text)
+                mark.linked += linked
+        for e in reversed(doubted):
+            if e.outer is not None:
+                e.outer.weight += e.weight
+                e.outer.linked += e.linked
+                e.outer.controls |= e.controls
+        half, fine = sum(len(text) for text, _, _ in found) / 2, {None: True}
+        for e in doubted:
+            own = not e.controls and 4 * e.linked < e.weight if e.weak else e.weight > half
+            fine[e] = own and fine[e.outer]
+        for e in doubted:
+            e.weight = e.linked = 0
+        found = [f for f, mark in zip(found, marks) if fine[mark]]
+    return Blocks(found, paths, holders) if found or not names else blocks(page, names=False)
+
+
+def best_path(found: Blocks) -> str | None:
     """The path of the container with the highest score, or of the one around it that the climb ends at; of equals, the first in the page.
 
     The page itself, with an empty path, is the outermost.
     """
-    scored: dict[int, _Element] = {}
-    weights: dict[int, int] = {}
-    menus: dict[int, int] = {}
+    if not found:
+        return None
     for text, linked, holder in found:
         weight = max(0, len(text) - 2 * linked)
-        e = holder
-        while e is not None:
-            weights[id(e)] = weights.get(id(e), 0) + len(text)
-            menus[id(e)] = menus.get(id(e), 0) + (2 * linked >= len(text))
-            e = e.above
-        for share in (1.0, 0.5):
-            if holder is None:
-                break
-            holder.score += share * weight
-            scored.setdefault(id(holder), holder)
-            holder = holder.above
-    best = max(scored.values(), key=lambda e: e.score, default=None)
-    if best is None:
-        return None
+        holder.weight += len(text)
+        holder.menus += 2 * linked >= len(text)
+        holder.score += weight
+        if holder.above is not None:
+            holder.above.score += 0.5 * weight
+    for e in reversed(found.holders):
+        if e.above is not None:
+            e.above.weight += e.weight
+            e.above.menus += e.menus
+    best = max(found.holders, key=lambda e: (e.score, e.weight > 0))
     e = best.above
     while e is not None:
         if e.tag in ("article", "main"):
@@ -213,22 +276,23 @@ def best_path(found) -> str | None:
         e = e.above
     while best.above is not None and best.tag != "body":
         around, whole = best.above, best.above.tag in ("body", "")
-        if weights[id(best)] < (SAME_BODY if whole else SAME) * weights[id(around)] or whole and menus[id(best)] < menus[id(around)]:
+        if best.weight < (SAME_BODY if whole else SAME) * around.weight or whole and best.menus < around.menus:
             break
         best = around
-    return best.path
+    for e in found.holders:
+        e.weight, e.menus, e.score = 0, 0, 0.0
+    return found.paths.spelled(best.path)
 
 
-def text_at(found, path: str | None) -> str:
+def text_at(found: Blocks, path: str | None) -> str:
     """Blocks in or below containers of ``path``, one a line."""
-    out = []
-    for text, _, holder in found:
-        while holder is not None:
-            if holder.path == path:
-                out.append(text)
-                break
-            holder = holder.above
-    return "\n".join(out)
+    number = None if path is None else found.paths.find(path)
+    if number is None:
+        return ""
+    inside = {}
+    for e in found.holders:
+        inside[id(e)] = e.path == number or e.above is not None and inside[id(e.above)]
+    return "\n".join(text for text, _, holder in found if inside[id(holder)])
 
 
 def extract(pages: DataFrame) -> DataFrame:

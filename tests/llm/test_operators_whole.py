@@ -183,6 +183,78 @@ def test_op2_furniture_stays_out():
     assert main_text(page) == [BODY.strip()]
 
 
+def test_op2_comments_and_adverts_in_article_elements():
+    for name in ("comment", "ad", "comment reply-1"):
+        assert main_text(f"<body><article><p>{BODY}</p><article class='{name}'><p>words of others</p></article></article></body>") == [BODY.strip()]
+        assert main_text(f"<body><article><p>{BODY}</p></article><article class='{name}'><p>{BODY * 3}</p></article></body>") == [BODY.strip()] or name == "ad"
+
+
+def test_op2_names_that_articles_use_too():
+    page = "<body><article><p>{}</p><div class=form><p>Poem form</p></div><div class=related>{}</div><div class=search><input><p>Find</p></div></article></body>"
+    assert main_text(page.format(BODY, "<p>Related work in prose</p>")) == [BODY.strip(), "Poem form", "Related work in prose"]
+    assert main_text(page.format(BODY, "<a href=/x>Other page</a>")) == [BODY.strip(), "Poem form"]
+
+
+def test_op2_deep_pages_stay_small():
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    began = time.time()
+    for page in ("<div class=abcdefghij>" * 20000 + "x", "<div>" * 3000 + "</x>" * 20000 + "x", "<p><b>" * 20000 + "x", "<div class='content has-sidebar'>" * 3000 + "x"):
+        assert main_text(page) == ["x"]
+    assert time.time() - began < 60 and tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+def test_op2_generated_pages_give_their_known_text():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh&<é") for _ in range(rng.randint(1, 8)))
+    esc = lambda t: t.replace("&", "&amp;").replace("<", "&lt;")
+    for _ in range(300):
+        want, body = [], []
+        for _ in range(rng.randint(1, 8)):
+            text = " ".join(word() for _ in range(rng.randint(8, 40)))
+            want.append(text)
+            tag = rng.choice(["p", "h2", "blockquote", "li", "pre", "section", "div class=part-7", "figcaption", "td"])
+            inner = rng.choice(["{}", "<b>{}</b>", "<span class=ad-hoc>{}", " {}\n"]).format(esc(text).replace(" ", rng.choice([" ", "\n  ", "<br>"])))
+            body.append(f"<{tag}>{inner}</{tag.split()[0]}>")
+        wrap = rng.choice(["<article>{}</article>", "<main><div>{}</div></main>", "<div id=page class='site-main'><article class=post-3>{}</article></div>", "<article><div class=body>{}</div></article>"])
+        around = ["<nav><a href=/>Home</a></nav>", "<header><p>Site</p></header>", "<div class=ad>Buy <b>now</b></div>", "<div class=cookie-notice><p>We use them.</p></div>", "<script>var p='<p>x</p>'</script>", "<aside><p>More</p></aside>", "<footer><p>Us</p></footer>", "<div id=comments><p>I agree</p></div>", "<form><input><p>Mail</p></form>"]
+        rng.shuffle(around)
+        k = rng.randint(0, len(around))
+        assert main_text(f"<html><body>{''.join(around[:k])}{wrap.format(''.join(body))}{''.join(around[k:])}</body></html>") == want
+
+
+def test_op2_test_pages_against_another_parser(spark):
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "h2", "li", "ul", "blockquote", "div") else []
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "h2", "li", "ul", "blockquote", "div", "article") else []
+
+        def handle_data(self, data):
+            self.blocks[-1] += data if self.inside else ""
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html_of = {r["page_id"]: r["html"] or "" for r in pages.collect()}
+    for r in htmltext.extract(pages).collect():
+        parser = Article()
+        parser.feed(html_of[r["page_id"]])
+        parser.close()
+        assert r["text"].split("\n") == [" ".join(b.split()) for b in parser.blocks if b.split()]
+
+
 # ---- decontamination ----
 
 
