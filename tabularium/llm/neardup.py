@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table, tidy
+from .common import maybe_broadcast, stage, table, tidy
 from .words import shingles, split_words
 
 SHINGLE = 4
@@ -86,7 +86,7 @@ def _small(batches, rows: int = 1000):
 
 
 def document_signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set; null if empty), keys."""
+    """doc_id, th (hash of the text), n_shingles, node (digest of the set; null if empty), keys."""
 
     def sign(batches):
         for batch in _small(batches):
@@ -98,9 +98,9 @@ def document_signatures(docs: DataFrame, size: int) -> DataFrame:
                     continue
                 node.append(_digest(items))
                 keys.append(signature(items, slice(COORDS)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "th", "n_shingles", "node", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(sign), "doc_id long, n_shingles long, node binary, keys binary")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(tidy(sign), "doc_id long, th long, n_shingles long, node binary, keys binary")
 
 
 def _post(classes: DataFrame) -> DataFrame:
@@ -125,21 +125,21 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return kept.select("cid", mask.alias("mask"), F.explode("lists").alias("x")).select("cid", "x.key", "x.coord", "mask")
 
 
-#: A class's row in comparisons: 16 bits of each posted coordinate, then the extra bits.
-PROFILE = 2 * COORDS + EXTRA // 4
+#: A class's row in comparisons: 32 bits of each posted coordinate, then the extra bits.
+PROFILE = 4 * COORDS + EXTRA // 4
 _PAIRS = np.uint64(0x5555555555555555)
 
 
 def profile(items: np.ndarray) -> bytes:
     sig = signature(items, slice(None))
-    posted, bits = (sig[:COORDS] >> np.uint64(24)).astype("<u2"), (sig[COORDS:] >> np.uint64(40)).astype(np.uint8) & 3
+    posted, bits = (sig[:COORDS] >> np.uint64(24)).astype("<u4"), (sig[COORDS:] >> np.uint64(40)).astype(np.uint8) & 3
     fours = bits.reshape(-1, 4)
     return posted.tobytes() + (fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6).tobytes()
 
 
 def _profiles(column: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(b"".join(column), np.uint8).reshape(-1, PROFILE)
-    return np.ascontiguousarray(both[:, : 2 * COORDS]).view("<u2"), np.ascontiguousarray(both[:, 2 * COORDS :]).view("<u8")
+    return np.ascontiguousarray(both[:, : 4 * COORDS]).view("<u4"), np.ascontiguousarray(both[:, 4 * COORDS :]).view("<u8")
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -174,9 +174,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             found = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays([pa.array([_digest(x) if len(x) else None for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([profile(x) for x in found], pa.binary())], ["node", "n_shingles", "items", "profile"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    first = wanted.select(F.col("first.doc_id").alias("of"), F.col("first.th").alias("its")).distinct()
+    texts = texts.join(first, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("its")), "left_semi")
     built = texts.select("doc_id", "text").mapInArrow(tidy(build), "node binary, n_shingles long, items binary, profile binary")
-    # A repeated doc_id can bring other sets along, or one set twice.
+    # Repeated rows bring one set twice.
     return wanted.select("cid", "node").join(built, "node").groupBy("cid").agg(F.first("n_shingles").alias("n_shingles"), F.first("items").alias("items"), F.first("profile").alias("profile"))
 
 
@@ -296,21 +298,17 @@ def components(links: DataFrame) -> DataFrame:
     return edges.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
-def near_duplicates(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
-
-    Null or empty texts have no shingles and link with nothing.  Rows with one
-    doc_id are judged each on its own text; a component's id is the smallest
-    doc_id in it.  ``percent`` must be 80 or more: the signature bounds hold
-    from there.
-    """
+def _judged(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, th, n_shingles, node, comp (null without shingles), component_id of every row of ``docs``."""
     if percent < PERCENT:
         raise ValueError(f"percent must be at least {PERCENT}")
     signed = stage(document_signatures(docs, size), "signatures")
-    alike = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+    # A class is known by its first row, rows without a doc_id last: its set is built from that row's text.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first")
+    alike = signed.filter("node is not null").groupBy("node").agg(first, F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
     classes = stage(alike.withColumn("cid", F.monotonically_increasing_id()), "classes")
     prefix = stage(_prefixes(classes), "prefixes")
-    wanted = classes.select("cid", "node", "first_doc").join(prefix.select("cid").distinct(), "cid", "left_semi")
+    wanted = classes.select("cid", "node", "first").join(prefix.select("cid").distinct(), "cid", "left_semi")
     sets = stage(_sets(docs, wanted, size), "sets")
     links = stage(_confirm(_first_pairs(prefix, sets), sets, percent), "links")
     comps = components(links)
@@ -318,13 +316,44 @@ def near_duplicates(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERC
         pairs = stage(_open_pairs(prefix, sets, comps, percent, best=best), "pairs")
         links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
         comps = components(links)
-    member = classes.select("node", "cid", "first_doc").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("node", "first_doc", F.coalesce("comp", "cid").alias("comp"))
-    smallest = member.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
-    labels = member.join(smallest, "comp").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    member = classes.select("node", "cid", "first").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("node", "first", F.coalesce("comp", "cid").alias("comp"))
+    smallest = member.groupBy("comp").agg(F.min("first").alias("least"))
+    labels = member.join(smallest, "comp").select("node", "comp", "least")
+    out = signed.select("doc_id", "th", "n_shingles", "node").join(labels, "node", "left")
+    return out.select("doc_id", "th", "n_shingles", "node", "comp", "least", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    Null or empty texts have no shingles and link with nothing.  Rows with one
+    doc_id, or with none, are judged each on its own text; a component's id is
+    the smallest doc_id in it, null if no member has one.  ``percent`` must be
+    80 or more: the signature bounds hold from there.
+    """
+    out = _judged(docs, size, percent).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicate(docs: DataFrame, *, size: int, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with their columns, less all but one of each component.
+
+    The one that stays has the smallest doc_id of the component, and of rows with
+    that doc_id one with the smallest text hash; of rows alike in both, any one.
+    Rows without shingles all stay.
+    """
+    mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    judged = _judged(docs, size, percent).filter("node is not null")
+    fate = judged.groupBy("doc_id", "th").agg(F.first(mine == F.col("least")).alias("stays"), F.count("*").alias("n"))
+    fate = stage(fate.filter("not stays or n > 1").select(F.col("doc_id").alias("of"), F.col("th").alias("its"), F.coalesce("stays", F.lit(False)).alias("stays")), "fates")
+    keyed = docs.withColumn("__th", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__th") == F.col("its"))
+    single = keyed.join(maybe_broadcast(fate.drop("stays")), same, "left_anti")
+    # Rows alike in doc_id and text, of which one stays.
+    several = keyed.join(maybe_broadcast(fate.filter("stays")), same, "left_semi")
+    one = several.groupBy("doc_id", "__th").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return single.select(*docs.columns).unionByName(one)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -166,6 +166,13 @@ def test_op5_repeated_rows_null_ids_and_empty(spark):
         neardup.near_duplicates(frame(spark, rows), percent=70)
 
 
+def test_op5_rows_without_doc_id_link(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    got = neardup.near_duplicates(frame(spark, [(None, text), (3, text + " extra"), (None, "x y z a b c d"), (3, "other words of the same id here")])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"], r["n_shingles"], r["kept"]) for r in got if r["n_shingles"] > 40) == [(0, 3, 57, False), (3, 3, 58, True)]
+    assert [(r["component_id"], r["kept"]) for r in got if r["n_shingles"] == 4 and r["doc_id"] is None] == [(None, True)]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (102, 101)], "a long, b long")
     got = {r["node"]: r["comp"] for r in neardup.components(links).collect()}

@@ -68,6 +68,31 @@ def test_pipeline_against_brute_force(spark):
     assert corpus_pipeline.run(spark, SF).count() == len(pieces)
 
 
+def test_pipeline_on_repeated_null_and_odd_rows(spark, tmp_path):
+    import random
+
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n))
+    t, u, v, long = text(80), text(80), text(90), text(60_000)
+    rows = [(1, t), (5, t), (5, u), (7, v), (7, v), (None, v + " end"), (None, text(70)), (8, None), (9, ""), (None, None), (11, long), (12, long + " tail"), (13, "short one")]
+    frame = spark.createDataFrame([(i, x, None, None, None, "extra", 4, 1.5) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string, th int, least double")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = corpus_pipeline.STAGES[0][1](spark, frame, str(tmp_path))
+    assert sorted((r["doc_id"] or 0, len(r["text"])) for r in kept.collect()) == sorted((i or 0, len(x)) for i, x in rows if x and len(x.split()) >= 50)
+    left = corpus_pipeline.STAGES[1][1](spark, common.stage(kept), str(tmp_path))
+    assert left.columns == frame.columns
+    got = sorted([(r["doc_id"], r["text"]) for r in left.collect()], key=lambda x: (x[0] is None, x[0] or 0))
+    assert got == [(1, t), (5, u), (7, v), (11, long), (None, rows[6][1])]
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == {1, 5, 7, 11, None}
+    frame.filter("false").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(str(tmp_path / f"{name}.parquet")).filter("false").write.parquet(str(tmp_path / "none" / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_shared_folder_is_the_sessions(spark):
     assert os.path.isdir(common.shared_dir(spark).removeprefix("file:"))
 
