@@ -2,27 +2,33 @@
 
 Pages become WARC/1.0 response records, one gzip member each, in segments of a
 bounded size; a segment's index lists the offset range of every record.  A
-replica is the table of its segments.  The audit hashes each record's stored
-bytes, then runs of ``FAN`` neighbouring hashes up to the segment's root, then
-segments to the root of their part and parts to the root of the replica.  Two
-replicas are compared from the root: only the branches whose hashes differ are
-descended, level by level, down to the records.
+replica is the table of its segments.  A leaf of the audit's trees is a record:
+page id, start, end, stored bytes and whatever bytes follow up to the next
+record, hashed together.  Runs of ``FAN``
+neighbouring hashes are hashed up to the segment's root, segments to the root of
+their part and parts to the root of the replica.  Two replicas are compared from
+the root: only the branches whose hashes differ are descended, level by level,
+down to the records.  So a shifted, reordered or forged index differs, and so do
+bytes outside all records and records that one side lacks.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import struct
 import zlib
 
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stage, table, tidy
+from .common import maybe_broadcast, stage, table, tidy
 
 FAN = 16
 SEGMENT_BYTES = 4 << 20
+#: Bytes that are decompressed at once.
+PIECE = 1 << 14
 #: Records carry no clock of their own: one capture date, so that equal input gives equal bytes.
 CAPTURED = "2000-01-01T00:00:00Z"
 #: In the query every page whose id is divisible by this has a byte of its record flipped in the second replica.
@@ -59,12 +65,17 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 def read_warc(data: bytes):
     """(offset, end, headers, payload) of each gzip member of a segment."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        d = zlib.decompressobj(31)
-        raw = d.decompress(data[at:])
-        end = len(data) - len(d.unused_data)
-        yield (at, end, *parse_record(raw))
+        d, raw, end = zlib.decompressobj(31), [], at
+        # In pieces, so that a member costs its own bytes and not all that follow it.
+        while not d.eof and end < len(data):
+            piece = view[end : end + PIECE]
+            raw.append(d.decompress(piece))
+            end += len(piece) - len(d.unused_data)
+        if not d.eof:
+            raise ValueError("the segment ends within a record")
+        yield (at, end, *parse_record(b"".join(raw)))
         at = end
 
 
@@ -121,13 +132,24 @@ def levels(leaves: list[bytes]) -> list[list[bytes]]:
     return out
 
 
+def leaves(index: list, data: bytes) -> list[bytes]:
+    """What is hashed of each record of a segment; bytes before the first record count with the last, all of them if there is none."""
+    out, first = [], max(0, index[0]["start"]) if index else len(data)
+    for k, r in enumerate(index):
+        known, start, end = r["page_id"] is not None, max(0, r["start"]), max(0, r["end"])
+        after = max(0, index[k + 1]["start"]) if k + 1 < len(index) else len(data)
+        head = struct.pack("<?qqq", known, r["page_id"] if known else 0, r["start"], r["end"])
+        out.append(head + data[start:end] + data[end:after] + (data[:first] if k + 1 == len(index) else b""))
+    return out or [data]
+
+
 def segment_nodes(replica: DataFrame) -> DataFrame:
     """part, segment, level, node, hash of every tree node inside a segment; ``top``: whether it is the segment's root."""
 
     def build(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                tree = levels([row["data"][r["start"] : r["end"]] for r in row["index"]])
+                tree = levels(leaves(row["index"], row["data"]))
                 rows = [(k, i, h) for k, level in enumerate(tree) for i, h in enumerate(level)]
                 lv, nd, hs = zip(*rows)
                 n = len(rows)
@@ -196,11 +218,21 @@ def contents(archive: DataFrame) -> DataFrame:
 
 
 def audit(archive: DataFrame, replica: DataFrame) -> DataFrame:
-    """page_id, payload_sha256, intact of every record of ``archive``; intact: ``replica`` stores the same bytes."""
+    """page_id, payload_sha256, intact of every record of ``archive``.
+
+    intact: ``replica`` has the same page, offset range and bytes there, and the
+    same bytes up to the next record.  Records that only the replica has give
+    rows with their page_id, without payload_sha256, not intact.
+    """
     a, b = (stage(segment_nodes(x), "nodes") for x in (archive, replica))
-    bad = corrupt_records(a, b).withColumn("intact", F.lit(False))
-    records = contents(archive).join(bad, ["part", "segment", "node"], "left")
-    return records.select("page_id", "payload_sha256", F.coalesce("intact", F.lit(True)).alias("intact"))
+    bad = stage(corrupt_records(a, b), "corrupt").withColumn("intact", F.lit(False))
+    records = contents(archive).join(maybe_broadcast(bad), ["part", "segment", "node"], "left")
+    found = records.select("page_id", "payload_sha256", F.coalesce("intact", F.lit(True)).alias("intact"))
+    own = archive.select("part", "segment", F.size("index").alias("n"))
+    loose = bad.join(own, ["part", "segment"], "left").filter("node >= coalesce(n, 0)")
+    names = replica.select("part", "segment", F.posexplode("index").alias("node", "r")).select("part", "segment", "node", F.col("r.page_id").alias("page_id"))
+    more = loose.join(names, ["part", "segment", "node"]).select("page_id", F.lit(None).cast("string").alias("payload_sha256"), "intact")
+    return found.unionByName(more)
 
 
 def op8_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -437,3 +437,43 @@ def test_op8_lost_segment_and_empty(spark):
     assert bad.count() == gone
     empty = fixity.write_archive(pages.limit(0))
     assert fixity.audit(empty, empty).count() == 0
+
+
+def test_op8_forged_indexes_gaps_and_extra_records(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * 50) for i in range(30)], "page_id long, url string, html string")
+    archive = fixity.write_archive(pages, segment_bytes=10**6).coalesce(1)
+    rows = sorted((r.asDict(recursive=True) for r in archive.collect()), key=lambda r: (r["part"], r["segment"]))
+
+    def audited(change):
+        forged = [dict(r, index=[dict(x) for x in r["index"]]) for r in rows]
+        change(forged[0])
+        found = fixity.audit(archive, spark.createDataFrame(forged, archive.schema)).collect()
+        return sorted((r["page_id"], r["payload_sha256"] is None) for r in found if not r["intact"])
+
+    first, last = (rows[0]["index"][k]["page_id"] for k in (0, -1))
+
+    def renamed(r):
+        r["index"][0]["page_id"] = 999
+
+    def appended(r):
+        r["data"] = bytes(r["data"]) + b"more"
+
+    def shifted(r):
+        r["index"][0]["end"] -= 1
+
+    def longer(r):
+        r["index"].append({"page_id": 777, "start": len(r["data"]), "end": len(r["data"])})
+
+    assert audited(lambda r: None) == []
+    assert audited(renamed) == [(first, False)] and audited(shifted) == [(first, False)]
+    assert audited(appended) == [(last, False)] and audited(longer) == [(777, True)]
+
+
+def test_read_warc_in_pieces(monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(fixity, "PIECE", 7)
+    raw = b"".join(gzip.compress(fixity.record(i, "u", b"p" * i * 50)) for i in range(5))
+    assert [p for *_, p in fixity.read_warc(raw)] == [b"p" * i * 50 for i in range(5)]
+    with pytest.raises(ValueError):
+        list(fixity.read_warc(raw[:-5]))
