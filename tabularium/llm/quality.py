@@ -1,16 +1,19 @@
 """Quality rules with risk-controlled thresholds, in DataFrame and SQL functions only.
 
 Every rule is ``statistic > cutoff: reject``.  The cutoffs are not set by hand:
-labelled documents are a holdout on which, per stratum (language), rule and
-candidate cutoff, the false rejections among good documents are counted.  A
-cutoff is certified if the exact binomial test rejects "the false-rejection
-risk exceeds RISK / number of rules" at CONFIDENCE, Bonferroni-corrected over
-all strata, rules and cutoffs.  So with probability 1 - CONFIDENCE all chosen
-rules of all strata together reject at most a share RISK of good documents.  Of
-the certified cutoffs of a rule the one that rejects most labelled low-quality
-documents, less the good ones it rejects, is chosen; the laxest of equals.  A
-stratum with too few labels certifies nothing and rejects nothing by this
-method.
+a level of strictness gives every rule its cutoff, so the levels are policies
+that each reject all that the laxer ones do.  Labelled documents are a holdout
+on which, per stratum (language) and level, the good documents that the policy
+rejects beyond the base rules are counted.  A level is certified if it and all
+laxer ones pass the exact binomial test of "the policy rejects more than a share
+RISK of good documents", at CONFIDENCE shared out over the strata that have
+enough good labels to certify anything.  Testing from lax to strict and stopping
+at the first failure needs no further correction for the number of levels.  So
+with probability 1 - CONFIDENCE the learned rules reject at most a share RISK of
+good documents in any stratum.  Of the certified levels the one that rejects
+most labelled low-quality documents, less the good ones it rejects, is chosen;
+the laxest of equals.  A stratum with too few labels certifies nothing and
+rejects nothing by this method.
 """
 
 from __future__ import annotations
@@ -24,16 +27,16 @@ from .common import maybe_broadcast, stage, table
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
-#: Largest share of good documents that all rules together may reject.
+#: Largest share of a stratum's good documents that all learned rules together may reject.
 RISK = 0.02
-#: Probability that any certified cutoff breaks its share of RISK.
+#: Probability that the certified level of any stratum breaks RISK.
 CONFIDENCE = 0.05
-#: Rules: a statistic of a document and its candidate cutoffs, lax to strict.
+#: Rules: two statistics of a document, and at each level, lax to strict, how much of the second the first may be.
 RULES = {
-    "symbols": ("n_symbols / greatest(n_words, 1)", (1.0, 0.8, 0.6, 0.4, 0.3, 0.2, 0.15, 0.1)),
-    "repeats": ("n_repeat_words / greatest(n_words, 1)", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25)),
-    "shouts": ("n_shouts / greatest(n_words, 1)", (0.9, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)),
-    "duplicate_lines": ("n_dup_lines / greatest(n_lines, 1)", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
+    "symbols": ("n_symbols", "n_words", (1.0, 0.8, 0.6, 0.4, 0.3, 0.2, 0.15, 0.1)),
+    "repeats": ("n_repeat_words", "n_words", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25)),
+    "shouts": ("n_shouts", "n_words", (0.9, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)),
+    "duplicate_lines": ("n_dup_lines", "n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
 }
 
 
@@ -92,6 +95,20 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return made.select(*docs.columns, q.alias("q"))
 
 
+LEVELS = range(1, 1 + max(len(cutoffs) for *_, cutoffs in RULES.values()))
+BASE = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)"
+
+
+def policy(level: int) -> str:
+    """SQL: whether any rule rejects at the level."""
+    return "(" + " OR ".join(f"CAST({part} AS DOUBLE) / greatest({whole}, 1) > {cutoffs[level - 1]!r}e0" for part, whole, cutoffs in RULES.values()) + ")"
+
+
+def least_labels(risk: float, confidence: float) -> int:
+    """Good labels below which nothing can be certified, whatever they show."""
+    return math.ceil(math.log(confidence) / math.log1p(-risk))
+
+
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """P(X <= k) for X of Bin(n, p), exact up to rounding: the p-value of "the risk is p or more" after k events in n."""
     first = n * math.log1p(-p)
@@ -107,36 +124,34 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(n == 0, 1.0).when(k > n * p, 1.0).otherwise(tail)
 
 
-def certified_cutoffs(judged: DataFrame, labels: DataFrame, *, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
-    """stratum and one cutoff column a rule (null: none certified) from ``judged`` (doc_id, stratum, statistics) and ``labels``.
+def certified_levels(judged: DataFrame, labels: DataFrame, *, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
+    """(stratum, level) of the strata that certify one, from ``judged`` (doc_id, stratum, statistics) and ``labels``.
 
     A document's label is the lowest quality given to it; null ones do not count.
     """
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     seen = judged.join(known, "doc_id")
-    cells = [(rule, c, F.expr(stat) > c) for rule, (stat, cutoffs) in RULES.items() for c in cutoffs]
-    good, poor = F.col("quality") >= 1, F.col("quality") < 1
+    good, poor, left = F.col("quality") >= 1, F.col("quality") < 1, ~F.expr(BASE)
     aggs = [F.count_if(good).alias("n")]
-    for i, (_, _, out) in enumerate(cells):
-        aggs += [F.count_if(out & good).alias(f"g{i}"), F.count_if(out & poor).alias(f"p{i}")]
-    wide = seen.groupBy("stratum").agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"g{i}").alias("k"), F.col(f"p{i}").alias("hits")) for i, (rule, c, _) in enumerate(cells)])
-    long = wide.select("stratum", "n", F.explode(rows).alias("c")).select("stratum", "n", "c.*")
+    for level in LEVELS:
+        out = F.expr(policy(level)) & left
+        aggs += [F.count_if(out & good).alias(f"g{level}"), F.count_if(out & poor).alias(f"p{level}")]
+    wide = seen.groupBy("stratum").agg(*aggs).filter(F.col("n") >= least_labels(risk, confidence))
     strata = wide.agg(F.count("*").alias("strata"))  # one row
-    long = long.crossJoin(F.broadcast(strata))
-    value = binomial_tail(F.col("k"), F.col("n"), risk / len(RULES))
-    passed = long.filter(value * F.col("strata") * len(cells) <= confidence).filter("hits > k")
-    best = passed.groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct((F.col("hits") - F.col("k")).alias("gain"), "cutoff")).alias("cutoff"))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES])
+    rows = F.array(*[F.struct(F.lit(level).alias("level"), F.col(f"g{level}").alias("k"), F.col(f"p{level}").alias("hits")) for level in LEVELS])
+    long = wide.crossJoin(F.broadcast(strata)).select("stratum", "n", "strata", F.explode(rows).alias("c")).select("stratum", "n", "strata", "c.*")
+    # Stricter levels reject more, so the levels that pass are the first ones.
+    passed = long.filter(binomial_tail(F.col("k"), F.col("n"), risk) * F.col("strata") <= confidence).filter("hits > k")
+    return passed.groupBy("stratum").agg(F.max_by("level", F.struct((F.col("hits") - F.col("k")).alias("gain"), -F.col("level"))).alias("level"))
 
 
-def _verdict(judged: DataFrame, cutoffs: DataFrame) -> DataFrame:
+def _verdict(judged: DataFrame, levels: DataFrame) -> DataFrame:
     """``judged`` with base_failed and kept."""
-    marked = judged.join(maybe_broadcast(cutoffs), "stratum", "left")
+    marked = judged.join(maybe_broadcast(levels), "stratum", "left")
     rejected = F.lit(False)
-    for rule, (stat, _) in RULES.items():
-        rejected = rejected | F.coalesce(F.expr(stat) > F.col(f"cut_{rule}"), F.lit(False))
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    for level in LEVELS:
+        rejected = F.when(F.col("level") == level, F.expr(policy(level))).otherwise(rejected)
+    base = F.expr(BASE)
     return marked.withColumn("base_failed", base).withColumn("kept", ~base & ~rejected)
 
 
@@ -144,8 +159,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, risk: float = RISK) -> DataFram
     """Statistics and verdict of every row; repeated rows are judged alike, a null language is a stratum of its own."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("stratum"))
     judged = stage(statistics(slim).select("doc_id", "stratum", "q.*"), "quality")
-    cutoffs = stage(certified_cutoffs(judged, labels, risk=risk), "cutoffs")
-    return _verdict(judged, cutoffs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    levels = stage(certified_levels(judged, labels, risk=risk), "levels")
+    return _verdict(judged, levels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, *, risk: float = RISK) -> DataFrame:
@@ -153,16 +168,15 @@ def kept_documents(docs: DataFrame, labels: DataFrame, *, risk: float = RISK) ->
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("stratum"))
     made = stage(statistics(packed).select("row", "doc_id", "stratum", "q.*"), "quality")
-    cutoffs = stage(certified_cutoffs(made.drop("row"), labels, risk=risk), "cutoffs")
-    return _verdict(made, cutoffs).filter("kept").select("row.*")
+    levels = stage(certified_levels(made.drop("row"), labels, risk=risk), "levels")
+    return _verdict(made, levels).filter("kept").select("row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-_STAT_SQL = {rule: stat.replace("n_", "1.0 * n_", 1) for rule, (stat, _) in RULES.items()}
-_CELLS_SQL = " UNION ALL ".join(f"SELECT stratum, quality, '{rule}' AS rule, cutoff, ({_STAT_SQL[rule]}) > cutoff AS hit FROM seen, (SELECT unnest([{', '.join(map(repr, cuts))}]::DOUBLE[]) AS cutoff)" for rule, (_, cuts) in RULES.items())
+_LEVELS_SQL = " UNION ALL ".join(f"SELECT stratum, quality, {level} AS level, {policy(level)} AND NOT {BASE} AS hit FROM seen" for level in LEVELS)
 OP3_SQL = f"""
 WITH split AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
@@ -182,20 +196,17 @@ q AS (
          len(list_filter(w, lambda x: ends_with(x, '!') AND x = upper(x)))::BIGINT AS n_shouts
   FROM split s LEFT JOIN reps r ON s.doc_id = r.doc_id),
 seen AS (SELECT q.*, l.quality FROM q JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l ON q.doc_id = l.doc_id),
-cells AS ({_CELLS_SQL}),
+cells AS ({_LEVELS_SQL}),
 counts AS (
-  SELECT stratum, rule, cutoff, count(*) FILTER (quality >= 1) AS n, count(*) FILTER (quality >= 1 AND hit) AS k,
-         count(*) FILTER (quality < 1 AND hit) AS hits, (SELECT count(DISTINCT stratum) FROM seen) AS strata
-  FROM cells GROUP BY stratum, rule, cutoff),
+  SELECT stratum, level, count(*) FILTER (quality >= 1) AS n, count(*) FILTER (quality >= 1 AND hit) AS k, count(*) FILTER (quality < 1 AND hit) AS hits
+  FROM cells GROUP BY stratum, level),
+able AS (SELECT *, (SELECT count(DISTINCT stratum) FROM counts WHERE n >= {least_labels(RISK, CONFIDENCE)}) AS strata FROM counts WHERE n >= {least_labels(RISK, CONFIDENCE)}),
 passed AS (
-  SELECT *, list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK / len(RULES)!r}) + (n - j) * ln(1 - {RISK / len(RULES)!r})))) AS p
-  FROM counts WHERE n > 0 AND k <= n * {RISK / len(RULES)!r} AND hits > k),
-chosen AS (
-  SELECT stratum, rule, arg_max(cutoff, (hits - k) * 1000.0 + cutoff) AS cutoff FROM passed
-  WHERE p * strata * {sum(len(c) for _, c in RULES.values())} <= {CONFIDENCE!r} GROUP BY stratum, rule),
-cuts AS (SELECT stratum, {', '.join(f"max(CASE WHEN rule = '{r}' THEN cutoff END) AS cut_{r}" for r in RULES)} FROM chosen GROUP BY stratum),
-base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q)
+  SELECT *, list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK!r}) + (n - j) * ln(1 - {RISK!r})))) AS p
+  FROM able WHERE k <= n * {RISK!r} AND hits > k),
+chosen AS (SELECT stratum, arg_max(level, (hits - k) * 1000.0 - level) AS level FROM passed WHERE p * strata <= {CONFIDENCE!r} GROUP BY stratum),
+base AS (SELECT *, {BASE} AS base_failed FROM q)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT ({' OR '.join(f"coalesce(({_STAT_SQL[r]}) > cut_{r}, false)" for r in RULES)}) AS kept
-FROM base b LEFT JOIN cuts c ON b.stratum = c.stratum
+       NOT base_failed AND NOT coalesce(CASE level {" ".join(f"WHEN {level} THEN {policy(level)}" for level in LEVELS)} END, false) AS kept
+FROM base b LEFT JOIN chosen c ON b.stratum = c.stratum
 """

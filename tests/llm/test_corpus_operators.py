@@ -217,13 +217,39 @@ def test_op3_against_brute_force(spark, quality_rows):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
         assert r["base_failed"] == (n_words < 50 or 100 * repeats > 50 * n_words)
     assert all(got[i]["kept"] for i in range(400))
-    cutoffs = quality.certified_cutoffs(quality.statistics(docs.selectExpr("doc_id", "text", "'' AS stratum")).select("doc_id", "stratum", "q.*"), labels, risk=0.2).collect()
-    assert cutoffs[0]["cut_symbols"] is not None and cutoffs[0]["cut_shouts"] is None
+    levels = quality.certified_levels(quality.statistics(docs.selectExpr("doc_id", "text", "'' AS stratum")).select("doc_id", "stratum", "q.*"), labels, risk=0.2).collect()
+    assert [(r["stratum"], r["level"]) for r in levels] == [("", 1)]
     assert not any(got[1000 + i]["kept"] for i in range(60))
     kept = quality.kept_documents(docs, labels, risk=0.2)
     assert kept.columns == docs.columns and kept.filter("doc_id < 400").count() == 400
 
 
+def test_op3_certifies_every_stratum_as_the_sql_does(spark):
+    """Four languages with enough labels, each with poor documents that need another level, one with good ones that forbid it."""
+    import duckdb
+    import pandas as pd
+
+    rng, words = random.Random(6), vocabulary(6)
+    rows, labels = [], []
+    for lang, share, good_share in (("de", 0.9, 0.0), ("en", 0.5, 0.0), ("es", 0.17, 0.0), ("fr", 0.5, 0.25), (None, 0.9, 0.0)):
+        for k in range(330 if lang else 60):
+            poor = k < 60 and lang
+            mark = share if poor else good_share if k % 3 == 0 else 0.0
+            rows.append((len(rows), " ".join(rng.choice(words) + "%" * (rng.random() < mark) for _ in range(90)), lang))
+            labels.append((rows[-1][0], int(not poor)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    documents, labels = pd.DataFrame(rows, columns=["doc_id", "text", "lang"]), pd.DataFrame(labels, columns=["doc_id", "quality"])  # noqa: F841
+    want = duckdb.sql(quality.OP3_SQL)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+    kept = {r["doc_id"]: r["kept"] for r in got.collect()}
+    by_lang = {lang: [kept[i] for i, _, x in rows if x == lang] for lang in ("de", "en", "es", "fr", None)}
+    for lang in ("de", "en", "es"):
+        assert sum(by_lang[lang][:60]) <= 6 and sum(by_lang[lang][60:]) >= 0.98 * 270
+    # The binding bound: stricter levels would reject too many of the good ones, so those stay.
+    assert sum(by_lang["fr"][60:]) >= 0.98 * 270 and all(by_lang[None])
+
+
 def test_op3_without_labels_or_rows(spark, quality_rows):
     docs = spark.createDataFrame([(i, t, "en") for i, t, _ in quality_rows[:5]], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
