@@ -10,8 +10,10 @@ threshold.  A retrieved item counts as leaked if the passage also holds enough
 of the word shingles of its question and of its answer, or of the whole item if
 nothing marks an answer (there its last sentence is tried as one too).
 
-Items are a stated list.  They are taken in slices of ``SLICE`` items, each a
-bounded index that goes to every task, so any number of items works.
+Items are a stated list.  They are taken in slices of at most ``SLICE`` items and
+``SLICE_BYTES`` of text, each a bounded index that goes to every task, and
+``AT_ONCE`` slices are probed in one pass over the passages, so any number of
+items works.  A single item that is longer is a slice by itself.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ K1, B = 1.2, 0.75
 #: Items per block of a postings list, and per index.
 BLOCK = 16
 SLICE = 20_000
+SLICE_BYTES = 4 << 20
+#: Indexes that a pass holds.
+AT_ONCE = 4
 #: Longer items are looked up by runs of this many words.
 PROBE_WORDS = 64
 #: Score that an item's rarest, essential terms must bring: the others cannot make up for it.
@@ -253,16 +258,30 @@ class Index:
 
 
 def _slices(items: DataFrame):
-    held = []
+    held, size = [], 0
     for r in items.select(F.col("item_id").cast("long").alias("i"), F.coalesce("text", F.lit("")).alias("t")).orderBy("i", "t").toLocalIterator():
-        held.append((r["i"], r["t"]))
-        if len(held) == SLICE:
+        n = len(r["t"].encode("utf-8", "surrogatepass"))
+        if held and (len(held) == SLICE or size + n > SLICE_BYTES):
             yield held
-            held = []
+            held, size = [], 0
+        held.append((r["i"], r["t"]))
+        size += n
     if held:
         yield held
 
 
+def _passes(spark: SparkSession, items: DataFrame):
+    """Lists of broadcast indexes, one list a pass."""
+    found = []
+    for some in _slices(items):
+        found.append(spark.sparkContext.broadcast(Index(some)))
+        if len(found) == AT_ONCE:
+            yield found
+            found = []
+    if found:
+        yield found
+
+
 def _searched(batches, index: Index, column: int):
     for batch in batches:
         for lo in range(0, batch.num_rows, 1000):
@@ -273,34 +292,39 @@ def _searched(batches, index: Index, column: int):
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: every leaked item of every document.
 
-    Null texts and items without words match nothing; repeated rows give one row a pair.
+    Null texts and items without words match nothing; of rows with one doc_id the
+    one with the highest score is shown for an item, likewise of items with one
+    item_id.
     """
-    spark = docs.sparkSession
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    found = spark.createDataFrame([], schema)
-    for some in _slices(items):
-        index = spark.sparkContext.broadcast(Index(some))
+    found = docs.sparkSession.createDataFrame([], schema)
+    for indexes in _passes(docs.sparkSession, items):
 
-        def find(batches, index=index):
-            for part, leaks in _searched(batches, index.value, 1):
-                rows = [(d, index.value.items[k], *v) for d, x in zip(part.column(0).to_pylist(), leaks) for k, v in x.items()]
-                cols = list(zip(*rows)) if rows else [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+        def find(batches, indexes=indexes):
+            for batch in batches:
+                for index in indexes:
+                    for part, leaks in _searched([batch], index.value, 1):
+                        rows = [(d, index.value.items[k], *v) for d, x in zip(part.column(0).to_pylist(), leaks) for k, v in x.items()]
+                        cols = list(zip(*rows)) if rows else [()] * 5
+                        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:])], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         found = found.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(find), schema))
-    return found.groupBy("doc_id", "item_id").agg(*[F.round(F.max(c), 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("x"))
+    return best.select("doc_id", "item_id", *[F.round(f"x.{c}", 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no leaked item, in one pass a slice of items."""
-    spark = docs.sparkSession
+    """The rows of ``docs`` that hold no leaked item, each judged on its own text."""
     columns, kind = docs.columns, docs.select(F.struct(*docs.columns).alias("row")).schema["row"].dataType.simpleString()
-    for some in _slices(items):
-        index = spark.sparkContext.broadcast(Index(some))
-
-        def keep(batches, index=index):
-            for part, leaks in _searched(batches, index.value, 1):
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array([not x for x in leaks], pa.bool_()))], ["row"])
+    for indexes in _passes(docs.sparkSession, items):
+
+        def keep(batches, indexes=indexes):
+            for part in batches:
+                for index in indexes:
+                    left = [(p, pa.array([not x for x in leaks], pa.bool_())) for p, leaks in _searched([part], index.value, 1)]
+                    part = pa.Table.from_batches([p.filter(clean) for p, clean in left], part.schema).combine_chunks()
+                    part = part.to_batches()[0] if part.num_rows else pa.RecordBatch.from_pylist([], part.schema)
+                yield pa.RecordBatch.from_arrays([part.column(0)], ["row"])
 
         docs = docs.select(F.struct(*columns).alias("row"), "text").mapInArrow(tidy(keep), f"row {kind}").select("row.*")
     return docs

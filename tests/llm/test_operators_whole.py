@@ -272,6 +272,85 @@ def test_op9_an_edited_last_sentence_does_not_hide_a_copy():
     assert not any(index.search([text(300) for _ in range(20)]))
 
 
+def brute_leaks(docs, items):
+    """The definition in plain Python: passages of two stretches, BM25 as a share of the item's own, overlap around the passage."""
+    import math
+    import re
+    from collections import Counter
+
+    def words(t):
+        return [w for w in re.sub(r"[\x00-\x7f]", lambda m: m[0] if m[0].isalnum() else " ", t.casefold()).split(" ") if w]
+
+    probes = []
+    for k, (_, t) in enumerate(items):
+        w = words(t)
+        for lo in range(0, max(1, len(w)), decontam.PROBE_WORDS):
+            p = w[lo : lo + decontam.PROBE_WORDS]
+            if len(p) >= 5 or not lo and p:
+                probes.append((k, Counter(p), len(p)))
+    longest, mean = max(n for *_, n in probes), sum(n for *_, n in probes) / len(probes)
+    held = Counter(t for _, c, _ in probes for t in c)
+    idf = {t: math.log1p((len(probes) - d + 0.5) / (d + 0.5)) for t, d in held.items()}
+    weights = [{t: idf[t] * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * n / mean)) for t, f in c.items()} for _, c, n in probes]
+    runs = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    def share(part, around):
+        w = words(part)
+        n = min(5, len(w))
+        return len(runs(w, n) & runs(around, n)) / len(runs(w, n)) if w else 1.0
+
+    found = {}
+    for d, t in docs:
+        w = words(t or "")
+        for a in range(0, len(w), longest):
+            passage = set(w[a : a + 2 * longest])
+            for (k, _, _), weight in zip(probes, weights):
+                score = sum(x for t, x in weight.items() if t in passage) / sum(weight.values())
+                if score < 0.8 - 1e-9 or score <= found.get((d, items[k][0]), 0):
+                    continue
+                item = items[k][1]
+                parts = decontam.question_and_answer(item)
+                reach = sum(len(runs(words(p), min(5, len(words(p))))) for p in parts) + 10
+                around = w[max(0, a - reach) : a + 2 * longest + reach]
+                near = tuple(share(p, around) for p in parts)
+                if not decontam.marked_answer(item):
+                    near = max(near, (share(item, around),) * 2, key=min)
+                if min(near) >= 0.8:
+                    found[d, items[k][0]] = score
+    return set(found)
+
+
+def test_op9_against_its_own_definition(spark, monkeypatch):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdef") for _ in range(3)) for _ in range(150)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, f"{text(rng.randint(4, 150))}{rng.choice(['? ', ' Answer: ', '. ', chr(10), ' '])}{text(rng.randint(1, 12))}") for i in range(30)]
+    docs = [(d, text(rng.randint(0, 200))) for d in range(30)] + [(30, None), (31, "")]
+    for d in range(40, 120):
+        copy = rng.choice(items)[1].split(" ")
+        for _ in range(rng.randint(0, len(copy) // 12)):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        docs.append((d, f"{text(rng.randint(0, 150))} {' '.join(copy)} {text(rng.randint(0, 150))}"))
+    want = brute_leaks(docs, items)
+    assert len(want) > 40
+    pages, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(pages, bench).collect()}
+    assert got == want
+    clean = {r["doc_id"] for r in decontam.clean_documents(pages, bench).collect()}
+    assert clean == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_op9_slices_by_bytes_in_few_passes(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SLICE_BYTES", 300)
+    monkeypatch.setattr(decontam, "AT_ONCE", 2)
+    texts = [" ".join(f"i{k}w{j}" for j in range(20)) for k in range(7)] + ["long " * 200 + " ".join(f"z{j}" for j in range(30))]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    assert len(list(decontam._slices(items))) > 3
+    docs = spark.createDataFrame([(k, f"before {t} after") for k, t in enumerate(texts)] + [(99, "none of it")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, items).collect()} >= {(k, k) for k in range(7)}
+    assert [r["doc_id"] for r in decontam.clean_documents(docs, items).collect()] == [99]
+
+
 def test_op9_question_and_answer_are_both_needed():
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
