@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,11 @@ _WORD = re.compile(f"[^{re.escape(_PARTING + _MARKS)}]+[{re.escape(_MARKS)}]*|[{
 _PART_BYTES = np.isin(np.arange(256), list(_PARTING.encode()))
 _MARK_BYTES = np.isin(np.arange(256), list(_MARKS.encode()))
 _NOT_DIGIT = re.compile("[^0-9]")
+#: Every token that can be an identifier has one of these.
+_TELLTALE = re.compile("[0-9_]|(?<=[a-z])[A-Z]")
+_RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._/-")
+_BYTES = np.arange(256)
+_SIGN_BYTES, _UPPER_BYTES, _LOWER_BYTES = np.isin(_BYTES, list(b"0123456789_@")), (_BYTES >= 65) & (_BYTES <= 90), (_BYTES >= 97) & (_BYTES <= 122)
 #: What a pattern after its instance starts with; no word holds it.
 AFTER = "\0"
 
@@ -159,9 +164,8 @@ def instances(text: str, spans, known: frozenset = frozenset()) -> list[tuple[in
         else:
             covered.append([a, b])
     k = 0
-    for m in _TOKEN.finditer(text):
-        a, b = m.span()
-        token = m[0]
+    for a, b in _token_spans(text) if not known else (m.span() for m in _TOKEN.finditer(text)):
+        token = text[a:b]
         given = token in known
         if not given and not shape(token):
             continue
@@ -169,38 +173,88 @@ def instances(text: str, spans, known: frozenset = frozenset()) -> list[tuple[in
             k += 1
         if k == len(covered) or b <= covered[k][0]:
             found.append((a, b, token, False, given or key_like(token)))
-    if not found:
-        return []
-    words = [m.span() for m in _WORD.finditer(text)]
-    begins, ends = [a for a, _ in words], [b for _, b in words]
     used, out = set(), []
     for a, b, value, base, seed in found:
         patterns = []
-        i = bisect_right(ends, a)
-        if i and i not in used:
-            used.add(i)
-            near = [_lower(text[x:y]) for x, y in words[max(0, i - 2) : i]]
-            patterns += [near[-n:] for n in (1, 2) if len(near) >= n]
-        i = bisect_left(begins, b)
-        if i < len(words) and ~i not in used:
-            used.add(~i)
-            near = [_lower(text[x:y]) for x, y in words[i : i + 2]]
-            patterns += [[AFTER, *near[:n]] for n in (1, 2) if len(near) >= n]
+        for near, mark in ((_words_before(text, a), ()), (_words_after(text, b), (AFTER,))):
+            if near and (mark, near[0]) not in used:
+                used.add((mark, near[0]))
+                words = [_lower(text[x:y]) for x, y in near]
+                # Nearest first; a pattern has them in the order of the text.
+                patterns += [[*mark, *(words[:n] if mark else words[n - 1 :: -1])] for n in (1, 2) if len(words) >= n]
         out.append((a, b, value, base, seed, patterns))
     return out
 
 
+def _token_spans(text: str):
+    """The spans of ``_TOKEN`` that hold a telltale character; the rest of the text is passed over."""
+    done = 0
+    for m in _TELLTALE.finditer(text):
+        at = m.start()
+        if at < done:
+            continue
+        start = at
+        while start > done and text[start - 1] in _RUN:
+            start -= 1
+        t = _TOKEN.search(text, start)
+        if t is None:
+            return
+        done = max(done, at + 1)
+        if t.start() <= at:
+            done = t.end()
+            yield t.span()
+
+
+def _goes_on(text: str, at: int) -> bool:
+    """Whether one word reaches over ``at``."""
+    if not 0 < at < len(text) or text[at - 1] in _PARTING or text[at] in _PARTING:
+        return False
+    return text[at] in _MARKS or text[at - 1] not in _MARKS
+
+
+def _words_before(text: str, start: int) -> list[tuple[int, int]]:
+    """Spans of the last two whole words that end at ``start`` or before, the nearest first."""
+    back = 64
+    while True:
+        lo = max(0, start - back)
+        found = [m.span() for m in _WORD.finditer(text, lo, start)]
+        if found and found[0][0] == lo and lo:
+            found = found[1:]  # may begin further back
+        if found and found[-1][1] == start and _goes_on(text, start):
+            found.pop()
+        if len(found) >= 2 or not lo:
+            return found[-2:][::-1]
+        back *= 4
+
+
+def _words_after(text: str, end: int) -> list[tuple[int, int]]:
+    """Spans of the first two whole words that begin at ``end`` or later."""
+    cut = _goes_on(text, end)
+    return [m.span() for m in islice(_WORD.finditer(text, end), cut, cut + 2)]
+
+
 _FOUND = "array<struct<start:int,end:int,value:string,shape:double,base:boolean,seed:boolean,patterns:array<long>,words:array<string>>>"
 
 
+def _signs(column: pa.Array) -> list[bool]:
+    """Whether a row has a character without which it has neither base spans nor tokens like identifiers."""
+    raw, offs = string_buffers(column)
+    sign = _SIGN_BYTES[raw]
+    sign[1:] |= _UPPER_BYTES[raw[1:]] & _LOWER_BYTES[raw[:-1]]
+    return (np.diff(np.searchsorted(np.nonzero(sign)[0], offs)) > 0).tolist()
+
+
 def _scan(docs: DataFrame, row_type: str, known: frozenset) -> DataFrame:
     """row (as given), n_* of the base spans, spans, found."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("shape", pa.float64()), ("base", pa.bool_()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("words", pa.list_(pa.string()))]))
 
     def scan(batches):
         for batch in batches:
-            spans, found = [], []
-            for text in batch.column(1).to_pylist():
+            spans, found, signs = [], [], _signs(batch.column(1))
+            for text, any_sign in zip(batch.column(1).to_pylist(), signs):
+                if not any_sign and not known:
+                    spans.append([]), found.append([])
+                    continue
                 own = base_spans(text or "")
                 spans.append(own)
                 found.append([{"start": a, "end": b, "value": v, "shape": shape(v), "base": base, "seed": s, "patterns": [_pattern(w) for w in c], "words": [" ".join(w) for w in c]} for a, b, v, base, s, c in instances(text or "", own, known)])

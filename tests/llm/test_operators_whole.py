@@ -128,6 +128,21 @@ def test_op1_against_an_independent_scorer_and_planted_identifiers(spark):
     assert sum("id:" in s for s in got[400:]) <= 2
 
 
+def test_op1_tokens_and_words_are_those_of_the_patterns():
+    rng = random.Random(14)
+    bits = ["ab", "é", "id=", '"', "(", ": ", " ", "\n", "no.", "x@y.zz", "AB1", "-", ".", "_", "/", "aB", "z" * 70, "7", "%"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))
+        want = [m.span() for m in pii._TOKEN.finditer(text)]
+        got = list(pii._token_spans(text))
+        assert set(got) <= set(want) and all(not pii.shape(text[a:b]) for a, b in set(want) - set(got))
+        assert pii._signs(pa.array([text]))[0] or not got
+        words = [m.span() for m in pii._WORD.finditer(text)]
+        for at in range(len(text) + 1):
+            assert pii._words_before(text, at) == [w for w in words if w[1] <= at][-2:][::-1]
+            assert pii._words_after(text, at) == [w for w in words if w[0] >= at][:2]
+
+
 def test_op1_given_identifiers_are_seeds(spark):
     texts = [f"x code name {v} y" for v in ("Red_Fox", "Blue_Owl", "Old_Crow", "New_Swan")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
