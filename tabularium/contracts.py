@@ -21,6 +21,15 @@ SOCIO = (
 SIMPLES = "cnpj_basico opcao_simples data_opcao_simples data_exclusao_simples opcao_mei data_opcao_mei data_exclusao_mei".split()
 LOOKUP = ["codigo", "descricao"]
 LOOKUP_KINDS = ("cnaes", "motivos", "municipios", "naturezas", "paises", "qualificacoes")
+# The names of the code lists in the published document.
+LOOKUP_KEYS = {
+    "cnaes": "cnaes",
+    "motivos": "motivos_situacao_cadastral",
+    "municipios": "municipios",
+    "naturezas": "naturezas_juridicas",
+    "paises": "paises",
+    "qualificacoes": "qualificacoes_socio",
+}
 LAYOUTS = {"empresa": EMPRESA, "estabelecimento": ESTABELECIMENTO, "socio": SOCIO, "simples": SIMPLES} | {f"lookup_{k}": LOOKUP for k in LOOKUP_KINDS}
 PRODUCTS = ("cnpjs", "raizes", "socios", "pessoas", "enderecos", "cnpj_cnaes", "cnpj_contatos")
 #: Sort of each product as published.

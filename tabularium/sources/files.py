@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.mkdirs(p)

@@ -9,11 +9,13 @@ import zipfile
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contracts
+from . import files
 
 #: The dialect: quotes are doubled inside quotes, short rows are padded with nulls, a field may hold line ends.
 DIALECT = {"sep": ";", "quote": '"', "escape": '"', "header": "false", "multiLine": "true", "mode": "PERMISSIVE", "maxCharsPerColumn": str(16 << 20)}
@@ -83,21 +85,38 @@ def file_encoding(path: str) -> str:
     return "UTF-8"
 
 
+def encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """``file_encoding`` of files in any store, in one distributed pass.
+
+    No UTF-8 character holds a line feed, so a file is UTF-8 if all its lines are.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    other = {_plain(r["path"]) for r in lines.filter(~F.is_valid_utf8("value")).select("path").distinct().collect()}
+    return {p: "ISO-8859-1" if _plain(files.qualified(spark, p)) in other else "UTF-8" for p in paths}
+
+
+def _plain(path: str) -> str:
+    """A qualified path, however its slashes and escapes are written."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", unquote(path))
+
+
 def read_csv(spark: SparkSession, path: str, table: str, *, encoding: str | None = None) -> DataFrame:
     return spark.read.options(**DIALECT).option("encoding", encoding or file_encoding(path)).schema(contracts.raw_schema(table)).csv(path)
 
 
 def read_table(spark: SparkSession, table: str, paths: Iterable[str], *, source_file: bool = False) -> DataFrame:
-    """All parts of a table. Missing and empty files are skipped; without any, an empty table of the declared columns.
+    """All parts of a table, in any store. Missing and empty files are skipped; without any, an empty table of the declared columns.
 
     Files of one encoding are one scan.  ``source_file`` adds ``_source_file``,
     the name of the part a row came from.
     """
     schema = contracts.raw_schema(table)
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        if os.path.exists(p) and os.path.getsize(p):
-            groups.setdefault(file_encoding(p), []).append(p)
+    there = [p for p in paths if files.exists(spark, p) and files.size(spark, p)]
+    for p, encoding in encodings(spark, there).items():
+        groups.setdefault(encoding, []).append(p)
     found = [spark.read.options(**DIALECT).option("encoding", e).schema(schema).csv(sorted(g)) for e, g in sorted(groups.items())]
     if source_file:
         found = [df.select("*", F.col("_metadata.file_name").alias("_source_file")) for df in found]

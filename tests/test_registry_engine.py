@@ -356,6 +356,7 @@ def test_c16_k1_to_k6_published(spark, published):
         assert contracts.same_schema(snap.table(name), contracts.PRODUCT_SCHEMAS[name]), name
     doc = json.load(open(os.path.join(folder, "lookups.json"), encoding="utf-8"))
     assert doc["municipios"] == {"7107": "São Paulo", "6001": "Rio de Janeiro"} and len(doc) == 8
+    assert {"motivos_situacao_cadastral", "naturezas_juridicas", "qualificacoes_socio"} < set(doc)
     assert [r["descricao_normalizada"] for r in snap.lookup_normalized("qualificacoes").collect()] == ["ADMINISTRADOR", "SOCIO-ADMINISTRADOR"]
     assert not glob.glob(f"{folder}/*.partial") and spark.read.parquet(f"{folder}/cnpjs.parquet").count() == 5
     for bad in (lambda: snap.table("x"), lambda: snap.lookup("x"), lambda: Snapshot.open(spark, folder, "2026")):
@@ -522,3 +523,25 @@ def test_q11_q12_q13_views(spark, published):
     into = {}
     views.register(views.View("one", "SELECT * FROM cnpjs WHERE uf = :uf", ("cnpjs",), "cnpjs"), into)
     assert into["one"].output == "cnpjs"
+
+
+def test_encodings_in_one_pass_equal_the_whole_file_test(spark, tmp_path):
+    from tabularium.sources import landing
+
+    cases = {"a b.csv": "á;ç\n".encode(), "c.csv": b"x\n" * 1000 + b"\xe1;\x8f\n", "d%20.csv": b"ok\xc3", "e.csv": b"plain", "f.csv": "\ufffd\n".encode()}
+    for name, data in cases.items():
+        (tmp_path / name).write_bytes(data)
+    paths = [str(tmp_path / name) for name in cases if "%" not in name]
+    assert landing.encodings(spark, paths) == {p: landing.file_encoding(p) for p in paths}
+    rows = landing.read_table(spark, "lookup_paises", ["file://" + str(tmp_path / "e.csv"), "file:///no/such.csv"]).collect()
+    assert [tuple(r) for r in rows] == [("plain", None)]
+
+
+def test_a_code_list_beyond_its_bound_is_an_error(spark, tmp_path, monkeypatch):
+    from tabularium import contracts
+    from tabularium.operators import products
+
+    monkeypatch.setattr(products, "LOOKUP_ROWS", 2)
+    lists = {k: spark.createDataFrame([(str(i), "x") for i in range(3)], "codigo string, descricao string") for k in contracts.LOOKUP_KINDS}
+    with pytest.raises(ValueError):
+        lifecycle.write_lookups_json(spark, lists, str(tmp_path / "lookups.json"), month="2026-04")
