@@ -8,10 +8,12 @@ partitioning serves them all.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from ..contracts import PRODUCT_SCHEMAS
+from ..contracts import LOOKUP_KINDS, PRODUCT_SCHEMAS
 from ..functions.text import collapse_spaces, expand_prefix, filled, strip_accents, upper_plain
 from ..functions.types import coded, comma_double, iso_date, yes_no
 
@@ -29,16 +31,22 @@ def full_id(prefix: str = "") -> Column:
     return F.concat(*[F.col(f"{prefix}{c}") for c in ("cnpj_basico", "cnpj_ordem", "cnpj_dv")])
 
 
-def dimension(lookup: DataFrame) -> DataFrame:
-    """``lookup``, hinted for broadcast only when a count shows that it is as small as code lists are."""
-    return F.broadcast(lookup) if lookup.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS else lookup
+def small_lists(lookups: dict[str, DataFrame]) -> set[str]:
+    """The names of lists that are as small as code lists are, counted in one job."""
+    counts = [df.select("codigo").limit(LOOKUP_ROWS + 1).agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in lookups.items()]
+    return {r["kind"] for r in reduce(DataFrame.unionByName, counts).collect() if r["n"] <= LOOKUP_ROWS} if counts else set()
+
 
+def described(df: DataFrame, lookup: DataFrame | None, code: str, name: str, *, default: str | None = "", small: bool | None = None) -> DataFrame:
+    """``df`` with column ``name``: the description of ``code``; ``default`` where the list lacks it, null where there is no list.
 
-def described(df: DataFrame, lookup: DataFrame | None, code: str, name: str, *, default: str | None = "") -> DataFrame:
-    """``df`` with column ``name``: the description of ``code``; ``default`` where the list lacks it, null where there is no list."""
+    The list is hinted for broadcast only if it is ``small``, which is counted where not given.
+    """
     if lookup is None:
         return df.withColumn(name, F.lit(None).cast("string"))
-    side = dimension(lookup.select(F.col("codigo").alias("__code"), F.col("descricao").alias("__text")))
+    side = lookup.select(F.col("codigo").alias("__code"), F.col("descricao").alias("__text"))
+    if small if small is not None else small_lists({name: lookup}):
+        side = F.broadcast(side)
     text = F.col("__text") if default is None else F.coalesce("__text", F.lit(default))
     return df.join(side, F.col(code) == F.col("__code"), "left").withColumn(name, text).drop("__code", "__text")
 
@@ -67,6 +75,9 @@ def wide_table(t: dict[str, DataFrame], *, null_sentinel: bool = False) -> DataF
     company = t["empresa"].withColumnRenamed("cnpj_basico", "__root")
     option = t["simples"].withColumnRenamed("cnpj_basico", "__root2")
     df = t["estabelecimento"].join(company, F.col("cnpj_basico") == F.col("__root"), "left").join(option, F.col("cnpj_basico") == F.col("__root2"), "left")
+    small = small_lists({k: t[f"lookup_{k}"] for k in LOOKUP_KINDS if f"lookup_{k}" in t})
+    if "cnaes" not in small:
+        raise ValueError(f"the code list cnaes has more than {LOOKUP_ROWS} rows")
     for code, name, kind in (
         ("natureza_juridica", "natureza_juridica_descricao", "naturezas"),
         ("qualificacao_responsavel", "qualificacao_responsavel_descricao", "qualificacoes"),
@@ -75,7 +86,7 @@ def wide_table(t: dict[str, DataFrame], *, null_sentinel: bool = False) -> DataF
         ("municipio", "municipio_nome", "municipios"),
         ("pais", "pais_nome", "paises"),
     ):
-        df = described(df, t.get(f"lookup_{kind}"), code, name)
+        df = described(df, t.get(f"lookup_{kind}"), code, name, small=kind in small)
     codes = split_codes(F.col("cnae_fiscal_secundaria"))
     df = df.crossJoin(F.broadcast(code_map(t["lookup_cnaes"])))  # one row
     new = {
@@ -178,9 +189,10 @@ def people_index(t: dict[str, DataFrame]) -> DataFrame:
 def partner_table(t: dict[str, DataFrame], *, null_sentinel: bool = False) -> DataFrame:
     """One row a partnership, with the list of qualifications joined twice: partner and representative."""
     kind = F.col("identificador_socio")
-    df = described(t["socio"], t.get("lookup_qualificacoes"), "qualificacao_socio", "qualificacao_descricao")
-    df = described(df, t.get("lookup_qualificacoes"), "qualificacao_representante_legal", "representante_legal_qualificacao_descricao")
-    df = described(df, t.get("lookup_paises"), "pais", "pais_nome")
+    small = small_lists({k: t[f"lookup_{k}"] for k in ("qualificacoes", "paises") if f"lookup_{k}" in t})
+    df = described(t["socio"], t.get("lookup_qualificacoes"), "qualificacao_socio", "qualificacao_descricao", small="qualificacoes" in small)
+    df = described(df, t.get("lookup_qualificacoes"), "qualificacao_representante_legal", "representante_legal_qualificacao_descricao", small="qualificacoes" in small)
+    df = described(df, t.get("lookup_paises"), "pais", "pais_nome", small="paises" in small)
     new = {
         "cnpj_base": F.col("cnpj_basico"),
         "tipo": kind,

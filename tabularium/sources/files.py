@@ -22,6 +22,16 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+def local(path: str) -> str:
+    """The name of a mounted folder; files of another store have none, which is an error."""
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        return path
+    if scheme != "file":
+        raise ValueError(f"not a mounted folder: {path}")
+    return "/" + rest.lstrip("/")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.mkdirs(p)

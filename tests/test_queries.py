@@ -2,7 +2,7 @@ import decimal
 
 import pytest
 
-from tabularium.plans import registry
+from tabularium.plans import registry, snapshot_queries  # noqa: F401  (registers)
 
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
