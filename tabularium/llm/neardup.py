@@ -273,27 +273,40 @@ def _open_pairs(prefix: DataFrame, profiles: DataFrame, comps: DataFrame, percen
     return ready.mapInArrow(tidy(walk), "a long, b long").distinct()
 
 
+#: Nodes whose neighbours are dealt evenly instead of to one task: those with more than HEAVY_LEAST of them and more
+#: than one in HEAVY_NODES of all, so that there are fewer than HEAVY_NODES and they may be broadcast.
+HEAVY_NODES = 10_000
+HEAVY_LEAST = 256
+
+
+def _with_least(edges: DataFrame, key: str, least: DataFrame, n: int) -> DataFrame:
+    """``edges``, at most ``n`` of them, with the ``m`` that ``least`` (key, m) has for ``key``, or null."""
+    heavy = edges.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > max(HEAVY_LEAST, n // HEAVY_NODES)).select(key, F.lit(True).alias("heavy"))
+    marked = edges.join(F.broadcast(heavy), key, "left")
+    light = marked.filter("heavy is null").drop("heavy").join(least, key, "left")
+    dense = marked.filter("heavy").drop("heavy").join(F.broadcast(heavy.join(least, key, "left").select(key, "m")), key, "left")
+    return light.unionByName(dense)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of every node in ``links`` (a, b): comp is the smallest node reachable.
 
     Alternating large-star and small-star contraction; every round is staged.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
-    mark = None
+    mark, n = None, links.count()
     while True:
-        # Large star: larger neighbours of a node go to the smallest of its neighbourhood.
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        # Large star: larger neighbours of a node go to the smallest of its neighbourhood, itself included.
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+        large = _with_least(edges, "v", least, n).select("u", F.coalesce("m", "v").alias("v")).distinct()
         # Small star: a node and its smaller neighbours go to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = _with_least(large, "u", large.groupBy("u").agg(F.min("v").alias("m")), n)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         edges = stage(small, "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
-        mark = now
+        mark, n = now, now[0]
     roots = edges.select(F.col("v").alias("u"), "v").distinct()
     return edges.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 

@@ -173,6 +173,24 @@ def test_op5_rows_without_doc_id_link(spark):
     assert [(r["component_id"], r["kept"]) for r in got if r["n_shingles"] == 4 and r["doc_id"] is None] == [(None, True)]
 
 
+def test_components_of_heavy_nodes(spark, monkeypatch):
+    """Stars around a smallest, a largest and a middle node, a bridge between two, against union-find."""
+    monkeypatch.setattr(neardup, "HEAVY_LEAST", 5)
+    links = [(0, i) for i in range(1, 40)] + [(100, i) for i in range(60, 100)] + [(230, i) for i in range(200, 260)] + [(39, 60), (300, 301), (301, 300), (302, 302)]
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = {r["node"]: r["comp"] for r in neardup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in parent if x != 302}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (102, 101)], "a long, b long")
     got = {r["node"]: r["comp"] for r in neardup.components(links).collect()}
