@@ -279,13 +279,15 @@ HEAVY_NODES = 10_000
 HEAVY_LEAST = 256
 
 
-def _with_least(edges: DataFrame, key: str, least: DataFrame, n: int) -> DataFrame:
-    """``edges``, at most ``n`` of them, with the ``m`` that ``least`` (key, m) has for ``key``, or null."""
-    heavy = edges.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > max(HEAVY_LEAST, n // HEAVY_NODES)).select(key, F.lit(True).alias("heavy"))
+def _with_least(edges: DataFrame, key: str, stats: DataFrame, n: int) -> DataFrame:
+    """``edges``, at most ``n`` of them, with the ``m`` that ``stats`` (node, m, rows) has for ``key``.
+
+    Rows of a heavy node get theirs by broadcast, and go through the join under negative keys, which no node has.
+    """
+    heavy = stats.filter(F.col("rows") > max(HEAVY_LEAST, n // HEAVY_NODES)).select(F.col("node").alias(key), F.col("m").alias("known"), F.lit(True).alias("heavy"))
     marked = edges.join(F.broadcast(heavy), key, "left")
-    light = marked.filter("heavy is null").drop("heavy").join(least, key, "left")
-    dense = marked.filter("heavy").drop("heavy").join(F.broadcast(heavy.join(least, key, "left").select(key, "m")), key, "left")
-    return light.unionByName(dense)
+    spread = F.when(F.col("heavy"), -1 - F.shiftrightunsigned(F.xxhash64("u", "v"), 1)).otherwise(F.col(key))
+    return marked.withColumn("node", spread).join(stats.select("node", "m"), "node", "left").select("u", "v", F.coalesce("known", "m").alias("m"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -297,10 +299,12 @@ def components(links: DataFrame) -> DataFrame:
     mark, n = None, links.count()
     while True:
         # Large star: larger neighbours of a node go to the smallest of its neighbourhood, itself included.
-        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
-        large = _with_least(edges, "v", least, n).select("u", F.coalesce("m", "v").alias("v")).distinct()
+        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("m"), F.lit(0).alias("one")).unionByName(edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("m"), F.lit(1).alias("one")))
+        stats = ends.groupBy("node").agg(F.min("m").alias("m"), F.sum("one").alias("rows"))
+        large = _with_least(edges, "v", stats, n).select("u", F.coalesce("m", "v").alias("v")).distinct()
         # Small star: a node and its smaller neighbours go to the smallest of them.
-        small = _with_least(large, "u", large.groupBy("u").agg(F.min("v").alias("m")), n)
+        stats = large.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"), F.count("*").alias("rows"))
+        small = _with_least(large, "u", stats, n)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         edges = stage(small, "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
