@@ -122,14 +122,38 @@ def fingerprint(keys: DataFrame) -> str:
     return hashlib.sha256(json.dumps(rows, default=str, separators=(",", ":")).encode()).hexdigest()
 
 
+def paired(source: DataFrame, derived: DataFrame, key: tuple[str, ...], fields: dict[str, Column | str]) -> DataFrame:
+    """(key, fields, __source, __derived): every distinct row of either side, and how often each has it; one shuffle by the key.
+
+    ``fields``: derived column to source expression.
+    """
+    kinds = dict(derived.select(*fields).dtypes)
+    want = source.select(*key, *[(F.expr(e) if isinstance(e, str) else e).cast(kinds[c]).alias(c) for c, e in fields.items()], F.lit(1).alias("__side"))
+    sides = want.unionByName(derived.select(*key, *fields, F.lit(0).alias("__side"))).repartition(*key)
+    return sides.groupBy(*key, *fields).agg(F.sum("__side").alias("__source"), F.sum(1 - F.col("__side")).alias("__derived"))
+
+
 def mismatches(source: DataFrame, derived: DataFrame, key: tuple[str, ...], fields: dict[str, Column | str]) -> DataFrame:
-    """Rows of ``source`` whose key ``derived`` lacks, or has with other values. ``fields``: derived column to source expression."""
-    want = source.select(*key, *[(F.expr(e) if isinstance(e, str) else e).alias(f"__{c}") for c, e in fields.items()])
-    both = want.join(derived.select(*key, *fields, F.lit(True).alias("__there")), list(key), "left")
-    differs = F.col("__there").isNull()
-    for c in fields:
-        differs = differs | ~F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return both.filter(differs)
+    """Rows of ``source`` whose key ``derived`` lacks, or has with other values. ``fields``: derived column to source expression.
+
+    Rows that repeat a key are compared as bags.  Where ``derived`` has all rows
+    of a key, rows of that key that ``source`` lacks are returned instead;
+    further copies of one that it has are not.
+    """
+    w = Window.partitionBy(*key)
+    missing = F.col("__source") - F.col("__derived")
+    marked = paired(source, derived, key, fields).withColumn("__known", F.max("__source").over(w) > 0).withColumn("__short", F.max(missing).over(w) > 0)
+    strange = F.col("__known") & ~F.col("__short") & (F.col("__source") == 0)
+    copies = F.explode(F.sequence(F.lit(1), F.greatest(missing, F.lit(1))))
+    return marked.filter((missing > 0) | strange).withColumn("__copy", copies).drop("__known", "__short", "__copy")
+
+
+def round_trip(source: DataFrame, derived: DataFrame, key: tuple[str, ...], fields: dict[str, Column | str]) -> DataFrame:
+    """One row: rows_compared of ``derived``; differing: rows that it lacks, as bags, and rows that ``source`` lacks altogether."""
+    missing = F.greatest(F.col("__source") - F.col("__derived"), F.lit(0))
+    strange = F.when(F.col("__source") == 0, F.col("__derived")).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return paired(source, derived, key, fields).agg(total("__derived").alias("rows_compared"), total(missing + strange).alias("differing"))
 
 
 class RoundTripError(AssertionError):

@@ -296,6 +296,18 @@ def test_c15_round_trip(spark, raw, made):
         lifecycle.verify_wide(raw["estabelecimento"], made["cnpjs"].withColumn("uf", F.lit("ZZ")))
 
 
+def test_c15_rows_that_repeat_an_id_are_compared_as_bags(spark):
+    both = {"v": "v"}
+    pair = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), (None, None)], "k string, v string")
+    assert quality.mismatches(pair, pair, ("k",), both).count() == 0
+    assert tuple(quality.round_trip(pair, pair, ("k",), both).first()) == (4, 0)
+    other = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "c"), ("2", "c"), ("3", "z"), (None, None)], "k string, v string")
+    assert [r["v"] for r in quality.mismatches(pair, other, ("k",), both).collect()] == ["b"]
+    assert tuple(quality.round_trip(pair, other, ("k",), both).first()) == (6, 2)
+    assert [r["v"] for r in quality.mismatches(pair.filter("k = '1'"), pair.union(spark.createDataFrame([("1", "x")], "k string, v string")), ("k",), both).collect()] == ["x"]
+    assert quality.mismatches(pair.union(pair), pair, ("k",), both).count() == 4
+
+
 def test_c18_equivalence(spark):
     a = keyed(spark, ROWS)
     quality.assert_equivalent(a, a.repartition(3))
