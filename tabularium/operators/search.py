@@ -73,7 +73,8 @@ def by_activity(cnpj_cnaes: DataFrame, cnpjs: DataFrame, lookup: DataFrame, text
 def by_person(pessoas: DataFrame, text: str, *, limit: int = 50) -> DataFrame:
     found = pessoas.filter(F.col("nome_normalizado").contains(_needle(text, 3)))
     columns = ["cpf_mascarado", "nome_normalizado", "nome_original", "papel", "cnpj_base", "qualificacao_codigo", "faixa_etaria"]
-    return found.select(*columns).orderBy(*[asc(c) for c in ("cpf_mascarado", "nome_normalizado", "cnpj_base", "papel")]).limit(limit)
+    order = ["cpf_mascarado", "nome_normalizado", "cnpj_base", "papel"]
+    return found.select(*columns).orderBy(*[asc(c) for c in order + [c for c in columns if c not in order]]).limit(limit)
 
 
 def partners_of(socios: DataFrame, root: str) -> DataFrame:

@@ -782,7 +782,7 @@ _WITH_PEOPLE = f"WITH {ctes('socio', 'lookup_qualificacoes')} pessoas AS ({_PEOP
 
 @over(f"{_WITH_PEOPLE} SELECT cpf_mascarado, nome_normalizado, nome_original, papel, cnpj_base, qualificacao_codigo, faixa_etaria FROM pessoas WHERE contains(nome_normalizado, 'ANA O') ORDER BY cpf_mascarado, nome_normalizado, cnpj_base, papel LIMIT 50")
 def q7_by_person(b: Bed) -> DataFrame:
-    # qualification breaks the remaining ties on neither side: a root has an agent once a qualification
+    # A root has an agent once a qualification: ties that the SQL leaves open, in which it gives other rows from run to run.
     return search.by_person(products.people_index(b.raw), "ana ö")
 
 

@@ -522,6 +522,14 @@ def test_searches(made, raw):
             bad()
 
 
+def test_q7_every_order_of_the_rows_gives_the_same_first_ones(spark, made):
+    one = made["pessoas"].filter("papel = 'socio_pf'").first().asDict()
+    rows = [one | {"qualificacao_codigo": f"{i:02d}"} for i in range(40)]
+    both = [spark.createDataFrame(r, made["pessoas"].schema).coalesce(1) for r in (rows, rows[::-1])]
+    first = [[r["qualificacao_codigo"] for r in search.by_person(df, "silva", limit=7).collect()] for df in both]
+    assert first[0] == first[1] == [f"{i:02d}" for i in range(7)]
+
+
 def test_q11_q12_q13_views(spark, published):
     Snapshot.open(spark, published[0])
     views.attach_views(spark)
