@@ -8,10 +8,12 @@ import json
 import os
 import re
 import zipfile
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
@@ -64,6 +66,23 @@ def ordered(rows: Column, keys: tuple[str, ...]) -> Column:
     return F.transform(F.array_sort(marked), lambda m: m["x"])
 
 
+def packed(keys: tuple[str, ...]) -> Column:
+    """Text columns as one text that sorts as they do by turns, nulls last: a mark, the text and a zero character of each."""
+    text = lambda k: F.replace(F.replace(F.col(k), F.lit("\x01"), F.lit("\x01\x02")), F.lit("\0"), F.lit("\x01\x01"))
+    return F.concat(*[F.when(F.col(k).isNull(), F.lit("2\0")).otherwise(F.concat(F.lit("1"), text(k), F.lit("\0"))) for k in keys])
+
+
+def split_packed(row: Column) -> Column:
+    """The marked texts of a ``packed`` one, to be named by ``unpacked``: an array, so that a row is split once."""
+    return F.split(row, "\\x00")
+
+
+def unpacked(parts: Column, keys: tuple[str, ...]) -> dict[str, Column]:
+    """The columns that ``split_packed`` has the parts of."""
+    text = lambda p: F.replace(F.replace(F.substring(p, 2, 2**31 - 1), F.lit("\x01\x01"), F.lit("\0")), F.lit("\x01\x02"), F.lit("\x01"))
+    return {k: F.when(parts[i] != "2", text(parts[i])) for i, k in enumerate(keys)}
+
+
 def _site() -> Column:
     c = F.col
     special = {
@@ -78,36 +97,48 @@ def _site() -> Column:
     return F.struct(*cols)
 
 
-def _partner() -> Column:
-    c = F.col
+def _partner(c: dict[str, Column]) -> Column:
     special = {
-        "tipo": doc_enum(c("tipo"), (1, 2, 3)),
-        "cpf_mascarado_meio": doc_masked_id(c("cpf_mascarado")),
-        "cnpj_socio": doc_int(c("cnpj_socio")),
-        "data_entrada_sociedade": doc_date(c("data_entrada_sociedade")),
-        "faixa_etaria": doc_enum(c("faixa_etaria"), tuple(range(1, 11))),
-        "representante_legal_cpf_meio": doc_masked_id(c("representante_legal_cpf")),
+        "tipo": doc_enum(c["tipo"], (1, 2, 3)),
+        "cpf_mascarado_meio": doc_masked_id(c["cpf_mascarado"]),
+        "cnpj_socio": doc_int(c["cnpj_socio"]),
+        "data_entrada_sociedade": doc_date(c["data_entrada_sociedade"]),
+        "faixa_etaria": doc_enum(c["faixa_etaria"], tuple(range(1, 11))),
+        "representante_legal_cpf_meio": doc_masked_id(c["representante_legal_cpf"]),
     }
     kinds = {"u": doc_int, "s": doc_str}
-    return F.struct(*[(special[n] if n in special else kinds[k](c(n))).alias(n) for n, _, k in _fields("Socio")])
+    return F.struct(*[(special[n] if n in special else kinds[k](c[n])).alias(n) for n, _, k in _fields("Socio")])
+
+
+def site_rows() -> Column:
+    """An aggregate: the establishments of a group, to be ordered yet."""
+    return F.collect_list(F.struct(*SITE_ORDER, _site().alias("doc")))
 
 
-def company_documents(raizes: DataFrame, cnpjs: DataFrame, socios: DataFrame, month: str) -> DataFrame:
-    """One nested row a root: company fields, ordered establishments, ordered partners. Children are ordered by their raw keys."""
-    nested = lambda df, keys, doc: df.select("cnpj_base", F.struct(*keys, doc.alias("doc")).alias("x")).groupBy("cnpj_base").agg(F.collect_list("x").alias("all"))
-    sites = nested(cnpjs, SITE_ORDER, _site()).select("cnpj_base", F.transform(ordered(F.col("all"), SITE_ORDER), lambda x: x["doc"]).alias("estabelecimentos"))
-    people = nested(socios, PARTNER_ORDER, _partner()).select("cnpj_base", F.transform(ordered(F.col("all"), PARTNER_ORDER), lambda x: x["doc"]).alias("socios"))
+def company_documents(raizes: DataFrame, cnpjs: DataFrame | None, socios: DataFrame, month: str) -> DataFrame:
+    """One nested row a root: company fields, ordered establishments, ordered partners. Children are ordered by their raw keys.
+
+    Without ``cnpjs``, ``raizes`` has ``site_rows`` as a column of that name, so
+    that the wide table is planned once.  A partner goes through the shuffle as
+    one text, which holds all that its order and its document need.
+    """
+    if cnpjs is not None:
+        raizes = raizes.join(cnpjs.groupBy("cnpj_base").agg(site_rows().alias("site_rows")), "cnpj_base", "left")
+    sites = F.transform(ordered(F.col("site_rows"), SITE_ORDER), lambda x: x["doc"])
+    dealt = socios.select("cnpj_base", packed(PARTNER_ORDER).alias("x")).repartition("cnpj_base")
+    people = dealt.groupBy("cnpj_base").agg(F.collect_list("x").alias("all"))
+    people = people.select("cnpj_base", F.transform(F.transform(F.array_sort("all"), split_packed), lambda x: _partner(unpacked(x, PARTNER_ORDER))).alias("socios"))
+    joined = raizes.withColumn("estabelecimentos", sites).drop("site_rows").join(people, "cnpj_base", "left")
     c = F.col
     out = {
         "cnpj_base": doc_int(c("cnpj_base")),
         "porte_empresa": doc_enum(c("porte_empresa"), (1, 2, 3, 5)),
         "capital_social": F.coalesce(c("capital_social"), F.lit(0.0)),
-        "estabelecimentos": F.coalesce(c("estabelecimentos"), F.array().cast(sites.schema["estabelecimentos"].dataType)),
+        "estabelecimentos": F.coalesce(c("estabelecimentos"), F.array().cast(joined.schema["estabelecimentos"].dataType)),
         "socios": F.coalesce(c("socios"), F.array().cast(people.schema["socios"].dataType)),
         "snapshot_yyyymm": F.lit(int(month.replace("-", ""))).cast("long"),
     }
     kinds = {"u": doc_int, "s": doc_str}
-    joined = raizes.join(sites, "cnpj_base", "left").join(people, "cnpj_base", "left")
     return joined.select(c("cnpj_base").alias("root"), *[(out[n] if n in out else kinds[k](c(n))).alias(n) for n, _, k in _fields("Company")])
 
 
@@ -203,6 +234,52 @@ def _member(archive: zipfile.ZipFile, name: str, data: bytes, month: str) -> Non
     archive.writestr(info, data, zipfile.ZIP_DEFLATED, 6)
 
 
+def _deflated_member(archive: zipfile.ZipFile, name: str, data: bytes, crc: int, size: int, month: str) -> None:
+    """A member that is compressed already; zipfile itself only takes plain bytes."""
+    info = zipfile.ZipInfo(name, month_stamp(month))
+    info.compress_type, info.external_attr, info.create_system = zipfile.ZIP_DEFLATED, 0o644 << 16, 3
+    info.CRC, info.compress_size, info.file_size, info.header_offset = crc, len(data), size, archive.start_dir
+    archive.fp.seek(archive.start_dir)
+    archive.fp.write(info.FileHeader())
+    archive.fp.write(data)
+    archive.start_dir, archive._didModify = archive.fp.tell(), True
+    archive.filelist.append(info)
+    archive.NameToInfo[name] = info
+
+
+#: Establishments and partners that are Python objects at once, or those of one company.
+HELD = 2000
+
+
+def _few(batch):
+    """Slices of a batch with HELD children at most, or of one row."""
+    children = pc.add(pc.list_value_length(batch.column("estabelecimentos")), pc.list_value_length(batch.column("socios"))).to_pylist()
+    lo, held = 0, 0
+    for at, n in enumerate(children):
+        if at > lo and held + n > HELD:
+            yield batch.slice(lo, at - lo)
+            lo, held = at, 0
+        held += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
+def encoded_documents(documents: DataFrame) -> DataFrame:
+    """(root, data, crc, size): each document's protobuf bytes, deflated, with the checksum and length they have inflated."""
+
+    def encode(batches):
+        for batch in batches:
+            for few in _few(batch):
+                root, data, crc, size = [], [], [], []
+                for row in few.to_pylist():
+                    plain = encode_document(row)
+                    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+                    root.append(row["root"]), data.append(packer.compress(plain) + packer.flush()), crc.append(zlib.crc32(plain)), size.append(len(plain))
+                yield pa.RecordBatch.from_arrays([pa.array(root, pa.string()), pa.array(data, pa.binary()), pa.array(crc, pa.int64()), pa.array(size, pa.int64())], ["root", "data", "crc", "size"])
+
+    return documents.mapInArrow(encode, "root string, data binary, crc long, size long")
+
+
 def document_name(root: str) -> str:
     s = root.zfill(8)
     return f"{s[:2]}/{s[2:5]}/{s[5:]}.pb"
@@ -211,12 +288,13 @@ def document_name(root: str) -> str:
 def write_shards(documents: DataFrame, folder: str, month: str, *, geometry: Geometry = Geometry(), spec: dict | None = None) -> DataFrame:
     """ZIP shards in ``folder``, which executors must share; (shard, documents, bytes, sha256) of each.
 
-    A shard is written by one task, member by member in root order, to a partial
+    Documents are encoded and deflated where they were nested and dealt out as
+    they will be stored.  A shard is written by one task, member by member in root order, to a partial
     file that is renamed when whole, so a repeated task replaces it.  A root that
     occurs twice is an error: the second would shadow the first.
     """
     shard = geometry.column(F.col("root"))
-    rows = documents.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard", "root")
+    rows = encoded_documents(documents).withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard", "root")
 
     def write(batches):
         os.makedirs(folder, exist_ok=True)
@@ -246,7 +324,7 @@ def write_shards(documents: DataFrame, folder: str, month: str, *, geometry: Geo
                     archive = zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED)
                 if last is not None and root <= last:
                     raise ValueError(f"root {root} does not follow {last}")
-                _member(archive, document_name(root), encode_document(row), month)
+                _deflated_member(archive, document_name(root), row["data"], row["crc"], row["size"], month)
                 last, n = root, n + 1
         if archive:
             yield close()

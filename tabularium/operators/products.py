@@ -61,8 +61,8 @@ def code_map(lookup: DataFrame) -> DataFrame:
     return lookup.agg(F.map_from_entries(F.collect_list(F.struct("codigo", F.coalesce("descricao", F.lit(""))))).alias("m"))
 
 
-def _laid_out(df: DataFrame, product: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT_SCHEMAS[product]])
+def _laid_out(df: DataFrame, product: str, *also: str) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT_SCHEMAS[product]], *also)
 
 
 def wide_table(t: dict[str, DataFrame], *, null_sentinel: bool = False) -> DataFrame:
@@ -125,10 +125,10 @@ def sorted_distinct(name: str) -> Column:
     return F.array_sort(F.collect_set(F.when(filled(F.col(name)), F.col(name))))
 
 
-def root_rollup(wide: DataFrame) -> DataFrame:
+def root_rollup(wide: DataFrame, **also: Column) -> DataFrame:
     """One row a root, in one grouping: counts, sorted distinct states and activities, the seat's fields.
 
-    The seat is the headquarters with the smallest id.
+    The seat is the headquarters with the smallest id.  ``also``: further columns, aggregates of the same grouping.
     """
     seat = F.min(F.when(F.col("identificador_matriz_filial") == HEADQUARTERS, F.struct("cnpj", *[F.col(v) for v in _SEAT_FIELDS.values()])))
     aggs = [F.min(c).alias(c) for c in _COMPANY_FIELDS]
@@ -139,8 +139,8 @@ def root_rollup(wide: DataFrame) -> DataFrame:
         sorted_distinct("cnae_principal_codigo").alias("cnaes_principais_distintos"),
         seat.alias("__seat"),
     ]
-    df = wide.groupBy("cnpj_base").agg(*aggs)
-    return _laid_out(df.select("*", *[F.col(f"__seat.{v}").alias(k) for k, v in _SEAT_FIELDS.items()]), "raizes")
+    df = wide.groupBy("cnpj_base").agg(*aggs, *[c.alias(name) for name, c in also.items()])
+    return _laid_out(df.select("*", *[F.col(f"__seat.{v}").alias(k) for k, v in _SEAT_FIELDS.items()]), "raizes", *also)
 
 
 def contact_index(t: dict[str, DataFrame]) -> DataFrame:

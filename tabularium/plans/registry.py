@@ -701,8 +701,8 @@ SELECT cast(s.cnpj_base AS bigint) AS cnpj_base, s.sites, s.n_sites, coalesce(pe
 @over(_WITH_WIDE + _NESTED)
 def c17_nested_documents(b: Bed) -> DataFrame:
     raw = b.raw
-    wide = products.wide_table(raw)
-    docs = documents.company_documents(products.root_rollup(wide), wide, products.partner_table(raw), "2026-04")
+    roots = products.root_rollup(products.wide_table(raw), site_rows=documents.site_rows())
+    docs = documents.company_documents(roots, None, products.partner_table(raw), "2026-04")
     site = lambda e: F.concat(e["cnpj_ordem"].cast("string"), F.lit(":"), e["tipo"].cast("string"))
     return docs.select("cnpj_base", F.array_join(F.transform("estabelecimentos", site), ",").alias("sites"), F.size("estabelecimentos").cast("long").alias("n_sites"), F.array_join(F.transform("socios", lambda s: s["nome_socio_razao_social"]), ",").alias("partners"))
 

@@ -565,3 +565,25 @@ def test_a_code_list_beyond_its_bound_is_an_error(spark, tmp_path, monkeypatch):
     lists = {k: spark.createDataFrame([(str(i), "x") for i in range(3)], "codigo string, descricao string") for k in contracts.LOOKUP_KINDS}
     with pytest.raises(ValueError):
         lifecycle.write_lookups_json(spark, lists, str(tmp_path / "lookups.json"), month="2026-04")
+
+
+def test_packed_texts_sort_as_their_columns(spark):
+    values = [None, "", "a", "a\0", "a\x01", "\0", "\x01", "\x01\x02", "\0\x01", "\x02", "b", "2", "ß", "\U0010ffff"]
+    df = spark.createDataFrame([(a, b) for a in values for b in values], "p string, q string")
+    row = documents.packed(("p", "q"))
+    got = [tuple(r) for r in df.orderBy(row).select(*[c.alias(k) for k, c in documents.unpacked(documents.split_packed(row), ("p", "q")).items()]).collect()]
+    assert got == sorted([(a, b) for a in values for b in values], key=lambda t: [(v is None, (v or "").encode()) for v in t])
+
+
+def test_documents_of_one_grouping_shuffle_the_wide_table_once(spark, raw, made, tmp_path, monkeypatch):
+    wide = products.wide_table(raw)
+    roots = products.root_rollup(wide, site_rows=documents.site_rows())
+    one = documents.company_documents(roots, None, made["socios"], "2026-04")
+    two = documents.company_documents(products.root_rollup(wide), wide, made["socios"], "2026-04")
+    key = lambda r: r["root"]
+    assert sorted(one.collect(), key=key) == sorted(two.collect(), key=key)
+    monkeypatch.setattr(documents, "HELD", 1)
+    shards = [documents.write_shards(df.filter("root rlike '^[0-9]{8}$'"), str(tmp_path / n), "2026-04").collect() for n, df in (("one", one), ("two", two))]
+    assert shards[0] == shards[1]
+    with zipfile.ZipFile(tmp_path / "one/companies-00.zip") as z:
+        assert z.testzip() is None and all(z.read(n) for n in z.namelist())
