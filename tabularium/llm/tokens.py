@@ -15,23 +15,23 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import ragged, string_buffers
+from .words import binary_buffers, ragged, run_hashes, string_buffers
 
 #: Bytes after which a worker's memo keeps only what the last batch used.
 MEMO_BYTES = 40 << 20
 #: Bytes of text encoded at once; longer texts are cut where a pre-token surely starts.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNSURE = range(5)
 _SAFE_CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 #: Fixed by the vocabulary format: the printable bytes stand for themselves, the others for characters from 256 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SPELLED = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPELLED = np.arange(256, dtype="<u2")
+_SPELLED[[b for b in range(256) if b not in _PRINTABLE]] = np.arange(256, 512 - len(_PRINTABLE))
 _CONTRACTIONS = ((b"s", 2), (b"t", 2), (b"m", 2), (b"d", 2), (b"re", 3), (b"ve", 3), (b"ll", 3))
 _ENCODERS: dict[str, "BatchEncoder"] = {}
 _classes: np.ndarray | None = None
@@ -108,6 +108,45 @@ def pre_tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.nonzero(start)[0], unsure
 
 
+class Places:
+    """Places of 64-bit hashes in the order they were added: open addressing, a batch at once."""
+
+    def __init__(self):
+        self.hashes, self.table = np.zeros(0, np.uint64), np.full(1024, -1, np.int32)
+
+    @property
+    def nbytes(self) -> int:
+        return self.hashes.nbytes + self.table.nbytes
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        found, left, slots = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), self._slots(hashes)
+        while len(left):
+            place = self.table[slots]
+            taken = place >= 0
+            left, slots, place = left[taken], slots[taken], place[taken]
+            hit = self.hashes[place] == hashes[left]
+            found[left[hit]] = place[hit]
+            left, slots = left[~hit], slots[~hit] + 1 & len(self.table) - 1
+        return found
+
+    def add(self, hashes: np.ndarray) -> None:
+        new = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
+        self.hashes = np.concatenate([self.hashes, hashes])
+        if 2 * len(self.hashes) > len(self.table):
+            self.table = np.full(1 << (2 * len(self.hashes)).bit_length(), -1, np.int32)
+            new = np.arange(len(self.hashes), dtype=np.int32)
+        slots = self._slots(self.hashes[new])
+        while len(new):
+            free = self.table[slots] < 0
+            self.table[slots[free]] = new[free]
+            late = self.table[slots] != new
+            new, slots = new[late], slots[late] + 1 & len(self.table) - 1
+
+
 class BatchEncoder:
     """Encodes string columns to little-endian unsigned ids of ``dtype``."""
 
@@ -123,41 +162,46 @@ class BatchEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_binary())
+        self.known, self.places = pa.array([], pa.large_binary()), Places()
         self.known_ids, self.known_cuts = np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
     def _raw(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: list[bytes]) -> list[list[int]]:
-        """The ids of pre-tokens, straight from the vocabulary's merges: all that comes before them is done."""
-        merge, blank, out = self.tokenizer.model.tokenize, _SPELLED[32], []
-        for p in parts:
-            if p.isalnum():
-                spelled = p.decode("ascii")
-            elif p[:1] == b" " and p[1:].isalnum():
-                spelled = blank + p[1:].decode("ascii")
-            else:
-                spelled = p.decode("latin-1").translate(_SPELLED)
-            out.append([t.id for t in merge(spelled)])
-        return out
+    def _learn(self, raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens laid end to end, and how many each has, straight from the vocabulary's merges: all that comes before them is done."""
+        merge, spelled, ids, sizes = self.tokenizer.model.tokenize, _SPELLED[raw].tobytes().decode("utf-16-le"), [], []
+        cuts = offs.tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            found = merge(spelled[a:b])
+            sizes.append(len(found))
+            ids += [t.id for t in found]
+        return np.array(ids, self.dtype), np.array(sizes, np.int64)
 
     def _distinct(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """ids and cuts of distinct pre-tokens, from the memo or the library; the memo learns them."""
-        place = pc.index_in(parts, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        raw, offs = binary_buffers(parts)
+        hashes = run_hashes(raw, offs)
+        place = self.places.find(hashes)
+        met = np.nonzero(place >= 0)[0]
+        if len(met):  # what only shares a hash with a known one is new
+            same = pc.equal(self.known.take(pa.array(place[met])), parts.take(pa.array(met))).to_numpy(zero_copy_only=False)
+            place[met[~same]] = -1
         new = np.nonzero(place < 0)[0]
         if len(new):
             fresh = parts.take(pa.array(new))
-            learned = self._learn(fresh.to_pylist())
+            learned, sizes = self._learn(*binary_buffers(fresh))
             place[new] = len(self.known) + np.arange(len(new))
+            self.places.add(hashes[new])
             self.known = pa.concat_arrays([self.known, fresh])
-            self.known_ids = np.concatenate([self.known_ids, np.fromiter(chain.from_iterable(learned), self.dtype)])
-            self.known_cuts = np.concatenate([self.known_cuts, self.known_cuts[-1] + np.cumsum([len(x) for x in learned])])
+            self.known_ids = np.concatenate([self.known_ids, learned])
+            self.known_cuts = np.concatenate([self.known_cuts, self.known_cuts[-1] + np.cumsum(sizes)])
         sizes = self.known_cuts[place + 1] - self.known_cuts[place]
         ids = self.known_ids[ragged(self.known_cuts[place], sizes)]
         cuts = np.concatenate([[0], np.cumsum(sizes)])
-        if self.known.nbytes + self.known_ids.nbytes + self.known_cuts.nbytes > MEMO_BYTES:
-            self.known, self.known_ids, self.known_cuts = parts, ids, cuts
+        if self.known.nbytes + self.places.nbytes + self.known_ids.nbytes + self.known_cuts.nbytes > MEMO_BYTES:
+            self.known, self.known_ids, self.known_cuts, self.places = parts, ids, cuts, Places()
+            self.places.add(hashes)
         return ids, cuts
 
     def _stretch(self, raw: np.ndarray, offs: np.ndarray, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -63,7 +63,11 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    return binary_buffers(column.cast(pa.large_string()).fill_null(""))
+
+
+def binary_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and row offsets of a large column without nulls."""
     _, offsets, data = column.buffers()
     offs = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[offs[0] : offs[-1]] if data is not None and len(column) else np.zeros(0, np.uint8)
@@ -76,6 +80,30 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def _run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """By prefix sums over each stretch; stretches keep the power tables short."""
+    hashes = np.empty(len(starts), np.uint64)
+    stretch = 1 << 17
+    at = 0
+    with np.errstate(over="ignore"):
+        while at < len(starts):
+            lo = int(starts[at])
+            upto = max(at + 1, int(np.searchsorted(ends, lo + stretch, "right")))
+            hi = int(ends[upto - 1])
+            power, inverse = _power_tables(hi - lo)
+            sums = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(_BYTE[data[lo:hi]] * power[: hi - lo], out=sums[1:])
+            s, e = starts[at:upto] - lo, ends[at:upto] - lo
+            hashes[at:upto] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) * _BASE)
+            at = upto
+    return hashes
+
+
+def run_hashes(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """One hash per run of bytes ``raw[offs[i]:offs[i + 1]]``."""
+    return _run_hashes(raw, offs[:-1], offs[1:])
+
+
 def split_words(column: pa.Array, *, lower: bool = False) -> Words:
     raw, offs = string_buffers(column)
     data = _LOWER[raw] if lower else raw
@@ -91,21 +119,7 @@ def split_words(column: pa.Array, *, lower: bool = False) -> Words:
     starts = np.nonzero(solid & (~before | first[:n]))[0]
     after = np.concatenate([solid[1:], [False]])
     ends = np.nonzero(solid & (~after | first[1:]))[0] + 1
-    # Hashes by prefix sums over each stretch; stretches keep the power tables short.
-    hashes = np.empty(len(starts), np.uint64)
-    stretch = 1 << 20
-    at = 0
-    with np.errstate(over="ignore"):
-        while at < len(starts):
-            lo = int(starts[at])
-            upto = max(at + 1, int(np.searchsorted(ends, lo + stretch, "right")))
-            hi = int(ends[upto - 1])
-            power, inverse = _power_tables(hi - lo)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_BYTE[data[lo:hi]] * power[: hi - lo], out=sums[1:])
-            s, e = starts[at:upto] - lo, ends[at:upto] - lo
-            hashes[at:upto] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) * _BASE)
-            at = upto
+    hashes = _run_hashes(data, starts, ends)
     cuts = np.searchsorted(starts, offs)
     return Words(data, raw, starts, ends, hashes, cuts)
 

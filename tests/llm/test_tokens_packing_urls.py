@@ -82,6 +82,22 @@ def test_stretches_and_long_texts_equal_library(library, monkeypatch):
     assert [g.tolist() for g in enc.arrays(texts * 3)] == [library(t) for t in texts] * 3
 
 
+def test_memo_finds_what_it_met_and_survives_clashing_hashes(library, monkeypatch):
+    from tabularium.llm import tokens
+
+    texts = [f"word{i} der die {chr(97 + i % 26) * (i % 7)} {i * i}" for i in range(3000)]
+    want, learned = [library(t) for t in texts], []
+    enc, learn = tokens.BatchEncoder(default_vocabulary()), tokens.BatchEncoder._learn
+    monkeypatch.setattr(tokens.BatchEncoder, "_learn", lambda self, raw, offs: learned.append(len(offs) - 1) or learn(self, raw, offs))
+    for _ in range(2):
+        assert [g.tolist() for g in enc.arrays(texts)] == want
+    assert len(learned) == 1 and learned[0] == len(enc.known) == len(enc.places.hashes)
+    # A known pre-token is told by its bytes, not by its hash alone.
+    monkeypatch.setattr(tokens, "run_hashes", lambda raw, offs: np.full(len(offs) - 1, 7, np.uint64))
+    enc = tokens.BatchEncoder(default_vocabulary())
+    assert [g.tolist() for k in range(0, 60, 20) for g in enc.arrays(texts[k : k + 20])] == want[:60]
+
+
 def test_op7_ties_of_a_doc_id(spark, library):
     rows = [(4, "bb", "en"), (4, None, "en"), (4, "a a", "en"), (3, "z", "en")]
     got = tokenio.read_tokens(tokenio.write_tokens(spark.createDataFrame(rows, DOCS))).orderBy("start").collect()
