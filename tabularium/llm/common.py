@@ -62,6 +62,15 @@ def trim_memory() -> None:
         pass  # another C library
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Have the executors' JVMs collect their garbage, a task a core, so that they give back heap that the Python workers beside them need.
+
+    A heap that has grown stays grown until a full collection, however little is alive in it.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).collect()  # a word a core
+
+
 def forget_tokens() -> None:
     """Drop the chunk memo that a tokenising task left in this worker, and return its memory."""
     module = sys.modules.get("tabularium.llm.tokens")

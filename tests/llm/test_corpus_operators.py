@@ -521,3 +521,32 @@ def test_read_warc_in_pieces(monkeypatch):
     assert [p for *_, p in fixity.read_warc(raw)] == [b"p" * i * 50 for i in range(5)]
     with pytest.raises(ValueError):
         list(fixity.read_warc(raw[:-5]))
+
+
+def test_op5_sieve_loses_no_row_and_texts_are_not_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("k"), F.xxhash64("id").alias("h"), F.col("id").cast("string").alias("text"))
+    some = rows.filter("h % 9 = 0 or k is null")
+    through = neardup._sieve(some, ["k", "h"])
+    passed, rest = through(rows, ["k", "h"], "left_semi"), through(rows, ["k", "h"], "left_anti")
+    assert some.exceptAll(passed).count() == 0 and passed.unionAll(rest).exceptAll(rows).count() == 0
+    assert passed.count() + rest.count() == 20_000 and passed.count() < some.count() + 1000
+    docs = rows.select(F.col("k").alias("doc_id"), "text")
+    wanted = docs.select(F.col("doc_id").alias("cid"), F.lit(b"").alias("node"), F.struct("doc_id", F.xxhash64("text").alias("th")).alias("first"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = neardup._sets(docs, wanted, 4)._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan[plan.index("MapInArrow") :]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pipeline_shrinks_heaps_by_collections(spark):
+    from tabularium.llm import common
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    common.shrink_heaps(spark)
+    assert full() > before
