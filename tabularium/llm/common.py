@@ -11,6 +11,7 @@ import uuid
 
 import pyarrow as pa
 import pyspark.sql.functions as F
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word is a maximal run of anything but the six ASCII white-space characters.
@@ -71,6 +72,27 @@ def shrink_heaps(spark: SparkSession) -> None:
     spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).collect()  # a word a core
 
 
+def shrink_driver(spark: SparkSession) -> str | None:
+    """Collect the driver's garbage and give its freed memory back to the system: Python's, the heap's, and what the JVM freed outside of it.
+
+    Each plan leaves buffers of the JVM's compiler and of Spark's network there,
+    which the C library keeps.  A collection also has Spark drop the shuffles and
+    broadcasts that nothing refers to.  Returns the JVM's answer, None from one
+    that cannot give back what is outside of the heap.
+    """
+    trim_memory()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    jvm.java.lang.System.gc()
+    # By reflection on the interface: the server's own class is not open to callers.
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    args = array(jvm.java.lang.Object, 4)  # the object, its operation, no parameters, no signature
+    args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        return invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JJavaError:
+        return None  # another JVM
+
+
 def forget_tokens() -> None:
     """Drop the chunk memo that a tokenising task left in this worker, and return its memory."""
     module = sys.modules.get("tabularium.llm.tokens")

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import maybe_broadcast, stage, table, tidy
+from .common import maybe_broadcast, shrink_driver, stage, table, tidy
 from .words import shingles, split_words
 
 SHINGLE = 4
@@ -320,7 +320,8 @@ def _with_least(edges: DataFrame, key: str, stats: DataFrame, n: int) -> DataFra
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of every node in ``links`` (a, b): comp is the smallest node reachable.
 
-    Alternating large-star and small-star contraction; every round is staged.
+    Alternating large-star and small-star contraction; every round is staged, and
+    the driver gives back what its plans took.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
     mark, n = None, links.count()
@@ -334,6 +335,7 @@ def components(links: DataFrame) -> DataFrame:
         small = _with_least(large, "u", stats, n)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         edges = stage(small, "links")
+        shrink_driver(links.sparkSession)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -550,3 +550,15 @@ def test_pipeline_shrinks_heaps_by_collections(spark):
     before = full()
     common.shrink_heaps(spark)
     assert full() > before
+
+
+def test_pipeline_driver_gives_memory_back_in_every_round(spark):
+    from tabularium.llm import common
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    neardup.components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    assert full() >= before + 2  # a round that contracts, and the last, which finds nothing new
+    # The C library's memory too: OpenJDK on Linux has a command for it.
+    assert "Trim native heap" in common.shrink_driver(spark)
